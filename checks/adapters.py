@@ -177,15 +177,14 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
             pick(k % 5, "male", "MALE", "female", "Female", None).alias("gender"),
             (k % 25).cast("string").alias("preferred_location_id"),
             F.date_format(created, "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
-            F.date_format(created, pick_format(k)).alias("registration_date"),
+            F.when(k % 2 == 0, F.date_format(created, "yyyy-MM-dd'T'HH:mm:ss"))
+            .otherwise(F.date_format(created, "yyyy-MM-dd HH:mm:ss"))
+            .alias("registration_date"),
             pick(k % 3, "2024-02-03 04:05:06", "not a time", None).alias("last_login"),
             pick(k % 4, -5, None, 0, 30).alias("duration"),
         )
         return with_copies(rows, "user_id", 10)
 
-    def pick_format(k: Column) -> Column:
-        return F.when(k % 2 == 0, "yyyy-MM-dd'T'HH:mm:ss").otherwise("yyyy-MM-dd HH:mm:ss")
-
     def dirty_events() -> DataFrame:
         e = F.col("event_id")
         when_text = (
@@ -362,7 +361,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
     builders = {
         name: build
         for name, build in locals().items()
-        if callable(build) and name not in ("table", "with_copies", "pick_format", "schedule_parts")
+        if callable(build) and name not in ("table", "with_copies", "schedule_parts")
     }
     tables = Tables(builders)
     return tables

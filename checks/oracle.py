@@ -555,12 +555,12 @@ BODIES: dict[str, str] = {
     "i01_convert": """SELECT CASE WHEN c_custkey % 2 = 0 THEN 'csv' ELSE 'json' END AS dir, c_custkey, c_name FROM customer""",
     "i02_ledger_anti": """SELECT DISTINCT strftime(ts, 'non-pii/events/events_%Y%m%d') AS unit FROM events
         WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM events)""",
-    "i04_folder_names": """SELECT DISTINCT strftime(ts, CASE event_type WHEN 'click' THEN 'events_%Y%m%d' WHEN 'view' THEN 'events_%Y'
-            WHEN 'error' THEN 'other_%Y%m%d' WHEN 'signup' THEN 'events_%Y%m%d_x' ELSE 'events' END) AS folder,
-          CASE WHEN event_type IN ('click', 'error', 'signup') THEN strftime(ts, '%Y%m%d') END AS strict_day,
-          CASE WHEN event_type IN ('click', 'error', 'signup') THEN strftime(ts, '%Y%m%d')
+    "i04_folder_names": """SELECT DISTINCT CASE event_type WHEN 'click' THEN 'events_' || d WHEN 'view' THEN 'events_' || left(d, 4)
+            WHEN 'error' THEN 'other_' || d WHEN 'signup' THEN 'events_' || d || '_x' ELSE 'events' END AS folder,
+          CASE WHEN event_type IN ('click', 'error', 'signup') THEN d END AS strict_day,
+          CASE WHEN event_type IN ('click', 'error', 'signup') THEN d
                WHEN event_type = 'purchase' THEN '20250501' END AS lenient_day
-        FROM events""",
+        FROM (SELECT event_type, strftime(ts, '%Y%m%d') AS d FROM events)""",
     "i03_ingest_batch": """SELECT DISTINCT event_id, lower(trim(event_type)) AS event_type, good_ts AS event_ts,
           2024 AS year, 1 AS month, CAST(1 + CAST(event_id AS BIGINT) % 5 AS INTEGER) AS day
         FROM t_dirty_event""",
