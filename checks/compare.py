@@ -29,7 +29,7 @@ def _cell(value) -> str:
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return "<null>"
     if isinstance(value, float):
-        return f"{value:.9g}"
+        return repr(value)
     return str(value)
 
 

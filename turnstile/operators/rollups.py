@@ -139,22 +139,22 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """
     value = F.col(column).cast("double")
     values = df.where(value.isNotNull()).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ends = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    flat = F.col("lo") == F.col("hi")
-    lo = ends.select(F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
-    hi = ends.select(F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
-    place = F.least(F.floor((F.col("v") - lo) * bins / (hi - lo)), F.lit(bins - 1))
-    binned = values.select(place.alias("place"), "c")
-    counts = [F.sum(F.when(F.col("place") == i, F.col("c"))).alias(f"c{i}") for i in range(bins)]
+    low, high = F.min("v"), F.max("v")
+    half = F.when(low == high, 0.5).otherwise(0.0)
+    ends = values.agg(F.struct((low - half).alias("lo"), (high + half).alias("hi")).alias("ends")).scalar()
+    placed = values.select("v", "c", ends.alias("ends")).select("v", "c", "ends.lo", "ends.hi")
+    place = F.least(F.floor((F.col("v") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1))
+    counts = [F.sum(F.when(place == i, F.col("c"))).alias(f"c{i}") for i in range(bins)]
+    lo, width = F.col("lo"), F.col("hi") - F.col("lo")
     rows = F.array(
         *[
             F.struct(
                 F.lit(i + 1).alias("bin"),
-                (lo + (hi - lo) * i / bins).alias("bin_start"),
-                (lo + (hi - lo) * (i + 1) / bins).alias("bin_end"),
+                (lo + width * i / bins).alias("bin_start"),
+                (lo + width * (i + 1) / bins).alias("bin_end"),
                 F.coalesce(F.col(f"c{i}"), F.lit(0)).alias("n"),
             )
             for i in range(bins)
         ]
     )
-    return binned.agg(*counts).select(F.inline(rows))
+    return placed.groupBy("lo", "hi").agg(*counts).select(F.inline(rows))

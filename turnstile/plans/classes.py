@@ -86,21 +86,23 @@ def location_trend(tables: TableMap, year: int = YEAR, exact_pairs: bool = False
     """Q-19: attendance per location and month; a pair found in both sources counts twice.
 
     Both sources are joined to their sessions together: "distinct per source, then added" is the
-    same as "distinct (source, pair)", which needs one join and one aggregation.
+    same as "distinct (source, pair)", which needs one join and one aggregation. The names of a place
+    depend on its id alone, so they are joined to the totals and stay out of the shuffles.
     """
     signups = latest_state(tables["fact_event"], ["event_ts"], where=in_year("event_ts", year))
-    attended = tables["fact_class_attendance"].select(*PAIR, F.lit("attended").alias("source"))
-    pairs = attended.unionAll(signups.select(*PAIR, F.lit("signed up").alias("source")))
-    places = tables["dim_location"].select(
-        "location_id", F.lower("city").alias("city"), F.lower("location_name").alias("location_name")
-    )
+    attended = tables["fact_class_attendance"].select(*PAIR, F.lit(1).alias("source"))
+    pairs = attended.unionAll(signups.select(*PAIR, F.lit(2).alias("source")))
     sessions = tables["dim_class_session"].where(F.col("year") == year)
-    sessions = sessions.select("session_id", "location_id", "year", "month").join(places, "location_id")
-    keys = ["location_id", "city", "location_name", "year", "month"]
-    counts = pairs.join(sessions, "session_id").groupBy(*keys)
-    totals = counts.agg(_distinct_pairs(exact_pairs, "source").alias("total_attendance"))
-    ties = [F.asc_nulls_last(c) for c in keys[:3]]
-    return totals.orderBy("year", F.asc_nulls_last("month"), F.desc("total_attendance"), *ties)
+    counts = pairs.join(sessions.select("session_id", "location_id", "year", "month"), "session_id")
+    totals = counts.groupBy("location_id", "year", "month").agg(
+        _distinct_pairs(exact_pairs, "source").alias("total_attendance")
+    )
+    city, name = F.lower("city").alias("city"), F.lower("location_name").alias("location_name")
+    places = tables["dim_location"].select("location_id", city, name).distinct()
+    columns = ["location_id", "city", "location_name", "year", "month", "total_attendance"]
+    ties = [F.asc_nulls_last(c) for c in columns[:3]]
+    named = totals.join(places, "location_id").select(*columns)
+    return named.orderBy("year", F.asc_nulls_last("month"), F.desc("total_attendance"), *ties)
 
 
 def leaderboard(tables: TableMap, month: dt.date = BOARD_MONTH, limit: int = 20) -> DataFrame:
