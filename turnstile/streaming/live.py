@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from turnstile.functions.clock import NTZ
 from turnstile.operators.state import PAIR, SIGNUP, latest_by, newest_first
 
 VERSION = "version"
@@ -40,12 +41,15 @@ def live_counts(events: DataFrame, every: str, start: str | None = None, waterma
     """T-4: events per clock window.
 
     Without a ``watermark`` no late event is ever dropped; the state is one row per window. With one,
-    Spark forgets windows older than it, and later events for them are lost.
+    Spark forgets windows older than it, and later events for them are lost. Watermarks need zoned
+    times, so a session with one should run in UTC, the library's default.
     """
-    rows = events.withWatermark("event_ts", watermark) if watermark else events
+    rows = events
+    if watermark:
+        rows = rows.withColumn("event_ts", F.col("event_ts").cast("timestamp_ltz")).withWatermark("event_ts", watermark)
     window = F.window("event_ts", every, startTime=start)
     counts = rows.groupBy(window.alias("w")).agg(F.count(F.lit(1)).alias("event_count"))
-    return counts.select(F.col("w.start").alias("window_start"), "event_count")
+    return counts.select(F.col("w.start").cast(NTZ).alias("window_start"), "event_count")
 
 
 def live_daily(events: DataFrame, watermark: str | None = None) -> DataFrame:
