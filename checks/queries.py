@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters as A
-from checks.adapters import domain_tables, warehouse_inputs
+from checks.adapters import TEST_SCHEMAS, domain_tables, read_test_table, warehouse_inputs
 from turnstile.functions import clock, text
 from turnstile.operators import clean, rollups
 from turnstile.operators.state import CANCEL, CHECKIN, PAIR, SIGNUP, latest_state, one_per_key
@@ -31,10 +31,6 @@ def over_table(name: str, change: Callable[[DataFrame], DataFrame]) -> Runner:
     return lambda spark, sf_dir: change(domain_tables(spark, sf_dir)[name])
 
 
-def test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # ---- analytic queries ----
 
 PERIOD = {"year": A.YEAR, "months": A.MONTHS, "cutover": A.CUTOVER}
@@ -77,7 +73,7 @@ ANALYTIC: dict[str, Runner] = {
     "q26_ad_hoc_sql": lambda spark, sf_dir: catalog.run_sql(
         spark,
         "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM raw_input_events GROUP BY 1, 2",
-        {"raw_input_events": test_table(spark, sf_dir, "events")},
+        {"raw_input_events": read_test_table(spark, sf_dir, "events")},
     ),
 }
 
@@ -132,7 +128,7 @@ def anti_join(tables: readers.Tables) -> DataFrame:
 
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.col("c_name")
-    return test_table(spark, sf_dir, "customer").select(
+    return read_test_table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.lower(name).alias("low"),
         F.trim(F.concat(F.lit("  "), name, F.lit("  "))).alias("trimmed"),
@@ -147,7 +143,7 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts, as_of = F.col("ts"), clock.day(A.USERS_AS_OF)
-    return test_table(spark, sf_dir, "events").select(
+    return read_test_table(spark, sf_dir, "events").select(
         "event_id",
         clock.start_of_day(ts).alias("day_start"),
         clock.start_of_week(ts).alias("week_start"),
@@ -186,7 +182,7 @@ RELATIONAL: dict[str, Runner] = {
             "user_id", clock.whole_years(F.col("date_of_birth"), clock.day(A.USERS_AS_OF)).alias("years")
         ),
     ),
-    "f_math": lambda spark, sf_dir: test_table(spark, sf_dir, "orders").select(
+    "f_math": lambda spark, sf_dir: read_test_table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.round("o_totalprice", 2).alias("rounded"),
         F.floor("o_totalprice").alias("floored"),
@@ -289,14 +285,14 @@ CUSTOMER = ("c_custkey", "c_name", "c_acctbal")
 def round_trip(fmt: str, read: Callable[[SparkSession, str], DataFrame], columns=CUSTOMER, **options) -> Runner:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"round-trip-{fmt}")
-        test_table(spark, sf_dir, "customer").write.format(fmt).options(**options).save(path)
+        read_test_table(spark, sf_dir, "customer").write.format(fmt).options(**options).save(path)
         return read(spark, path).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), *columns[1:])
 
     return run
 
 
 def every_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, nation, found = scratch_path(spark, "extensions"), test_table(spark, sf_dir, "nation"), None
+    root, nation, found = scratch_path(spark, "extensions"), read_test_table(spark, sf_dir, "nation"), None
     for extension, fmt in readers.FORMAT_BY_EXTENSION.items():
         path = f"{root}/nation.{extension.upper()}"
         nation.write.format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(path)
@@ -309,7 +305,7 @@ def every_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_of_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "manifest")
-    test_table(spark, sf_dir, "events").write.partitionBy("event_type").parquet(path)
+    read_test_table(spark, sf_dir, "events").write.partitionBy("event_type").parquet(path)
     files = manifest.file_manifest(spark, path, "*.parquet")
     return files.agg(
         F.count_distinct(manifest.folder_of(F.col("path"))).alias("folders"), (F.min("length") > 0).alias("all_sized")
@@ -320,7 +316,7 @@ def daily_folders(spark: SparkSession, sf_dir: str) -> str:
     """The events as dated folders; returns the source root."""
     root = scratch_path(spark, "folders")
     unit = F.date_format("ts", "'events_'yyyyMMdd").alias("unit")
-    test_table(spark, sf_dir, "events").select("event_id", unit).write.partitionBy("unit").parquet(f"{root}/non-pii/events")
+    read_test_table(spark, sf_dir, "events").select("event_id", unit).write.partitionBy("unit").parquet(f"{root}/non-pii/events")
     return root
 
 
@@ -329,7 +325,7 @@ def found_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {name: (lambda n=name: test_table(spark, sf_dir, n)) for name in ("nation", "region")}
+    tables = {name: (lambda n=name: read_test_table(spark, sf_dir, n)) for name in ("nation", "region")}
     for name, build in tables.items():
         sinks.create_view(build(), f"listed_{name}")
     listed = readers.catalog_tables(spark, ["listed_nation", "listed_region"])
@@ -339,7 +335,7 @@ def registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_path(spark, 'user-file')}/mine.csv"
-    sinks.export_csv(test_table(spark, sf_dir, "customer"), path)
+    sinks.export_csv(read_test_table(spark, sf_dir, "customer"), path)
     readers.register_file(spark, "my_customers", path)
     return spark.sql("SELECT c_mktsegment, count(*) AS n FROM my_customers GROUP BY c_mktsegment")
 
@@ -351,7 +347,7 @@ def stored_popular_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_again(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], None], read_format: str) -> DataFrame:
-    path, orders = scratch_path(spark, "overwrite"), test_table(spark, sf_dir, "orders")
+    path, orders = scratch_path(spark, "overwrite"), read_test_table(spark, sf_dir, "orders")
     for _ in range(2):
         write(orders, path)
     rows = spark.read.format(read_format).load(path)
@@ -361,7 +357,7 @@ def orders_again(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, s
 def appended_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "append-month")
     at = F.col("o_orderdate")
-    rows = test_table(spark, sf_dir, "orders").withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)})
+    rows = read_test_table(spark, sf_dir, "orders").withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)})
     for _ in range(2):
         sinks.append_by_month(rows, path)
     return spark.read.parquet(path).groupBy("year", "month").agg(F.count("day").alias("n"))
@@ -371,7 +367,7 @@ def appended_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "append-day")
     at = F.col("ts")
     sinks.append_by_day(
-        test_table(spark, sf_dir, "events").withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)}), path
+        read_test_table(spark, sf_dir, "events").withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)}), path
     )
     return spark.read.parquet(path).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
 
@@ -391,7 +387,7 @@ def exported_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.write_checked(test_table(spark, sf_dir, "lineitem"), scratch_path(spark, "checked")).drop("path")
+    return sinks.write_checked(read_test_table(spark, sf_dir, "lineitem"), scratch_path(spark, "checked")).drop("path")
 
 
 def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +452,7 @@ def day_number() -> Column:
 
 def converted(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "convert")
-    customers = test_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    customers = read_test_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     customers.where("c_custkey % 2 = 0").write.option("header", True).csv(f"{root}/raw/csv")
     customers.where("c_custkey % 2 = 1").write.json(f"{root}/raw/json")
     for _ in range(2):
@@ -485,7 +481,7 @@ def folder_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit("events_"), day, F.lit("_x")))
         .otherwise("events")
     )
-    names = test_table(spark, sf_dir, "events").select(folder.alias("folder")).distinct()
+    names = read_test_table(spark, sf_dir, "events").select(folder.alias("folder")).distinct()
     return names.select(
         "folder",
         manifest.STRICT_NAMING.day_text(F.col("folder")).alias("strict_day"),
@@ -532,8 +528,7 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = test_table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = spark.readStream.schema(TEST_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return A.event_columns(stream)
 
 

@@ -14,16 +14,8 @@ from pyspark.sql import functions as F
 NTZ = "timestamp_ntz"
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
 
-# Weekday numbers start on Sunday.
-WEEKDAY_NAMES = {
-    1: "Sunday",
-    2: "Monday",
-    3: "Tuesday",
-    4: "Wednesday",
-    5: "Thursday",
-    6: "Friday",
-    7: "Saturday",
-}
+# Weekday numbers 1 to 7 start on Sunday.
+WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 DayLike = dt.date | dt.datetime | str | Column | None
 
@@ -58,9 +50,8 @@ def start_of_week(ts: Column) -> Column:
 
 
 def weekday_name(number: Column) -> Column:
-    """F-12: name of a Sunday-based weekday number, null outside 1..7."""
-    pairs = [part for n, name in WEEKDAY_NAMES.items() for part in (F.lit(n), F.lit(name))]
-    return F.try_element_at(F.create_map(*pairs), number)
+    """F-12: name of a Sunday-based weekday number."""
+    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAY_NAMES]), number)
 
 
 def whole_days(start: Column, end: Column) -> Column:

@@ -135,26 +135,24 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """P-15: equal-width bins between minimum and maximum, the last one closed, empty ones kept.
 
     When all values are equal the range is widened by one half to each side. Values are counted once
-    per distinct value first, so the second pass over them is small.
+    per distinct value first, so the second pass over them is small; only the at most ``bins`` filled
+    bins are ever gathered in one row.
     """
     value = F.col(column).cast("double")
     values = df.where(value.isNotNull()).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
     low, high = F.min("v"), F.max("v")
     half = F.when(low == high, 0.5).otherwise(0.0)
     ends = values.agg(F.struct((low - half).alias("lo"), (high + half).alias("hi")).alias("ends")).scalar()
-    placed = values.select("v", "c", ends.alias("ends")).select("v", "c", "ends.lo", "ends.hi")
-    place = F.least(F.floor((F.col("v") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1))
-    counts = [F.sum(F.when(place == i, F.col("c"))).alias(f"c{i}") for i in range(bins)]
     lo, width = F.col("lo"), F.col("hi") - F.col("lo")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i + 1).alias("bin"),
-                (lo + width * i / bins).alias("bin_start"),
-                (lo + width * (i + 1) / bins).alias("bin_end"),
-                F.coalesce(F.col(f"c{i}"), F.lit(0)).alias("n"),
-            )
-            for i in range(bins)
-        ]
+    place = F.least(F.floor((F.col("v") - lo) * bins / width), F.lit(bins - 1))
+    placed = values.select("v", "c", ends.alias("ends")).select("v", "c", "ends.lo", "ends.hi")
+    filled = placed.groupBy("lo", "hi", place.alias("place")).agg(F.sum("c").alias("n"))
+    by_place = F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("by_place")
+    whole = filled.groupBy("lo", "hi").agg(by_place)
+    i = F.col("i")
+    return whole.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("i")).select(
+        (i + 1).alias("bin"),
+        (lo + width * i / bins).alias("bin_start"),
+        (lo + width * (i + 1) / bins).alias("bin_end"),
+        F.coalesce(F.try_element_at("by_place", i.cast("bigint")), F.lit(0)).alias("n"),
     )
-    return placed.groupBy("lo", "hi").agg(*counts).select(F.inline(rows))
