@@ -423,6 +423,13 @@ BODIES: dict[str, str] = {
         WHERE event_type IN ('signup', 'checkin', 'cancel')
         QUALIFY row_number() OVER (PARTITION BY user_id, session_id
                                    ORDER BY processed_time DESC NULLS LAST, event_id DESC NULLS LAST) = 1""",
+    "w1_by_two_times": """SELECT user_id, session_id, event_id FROM (
+          SELECT * FROM t_event
+          WHERE event_ts >= TIMESTAMP '2024-01-01' AND event_ts < TIMESTAMP '2024-02-01'
+            AND event_type IN ('signup', 'cancel')
+          QUALIFY row_number() OVER (PARTITION BY user_id, session_id
+              ORDER BY event_ts DESC NULLS LAST, processed_time DESC NULLS LAST, event_id DESC NULLS LAST) = 1)
+        WHERE event_type = 'signup'""",
     "r11_anti": """SELECT user_id, session_id, event_id FROM r_latest_ts
         WHERE event_type = 'signup' AND (user_id, session_id) NOT IN (
           SELECT (user_id, session_id) FROM t_event
@@ -484,6 +491,25 @@ BODIES: dict[str, str] = {
           ELSE lower(trim(user_id)) END AS user_id,
           CASE WHEN coalesce(trim(location_id), '') = '' THEN 'unknown' ELSE lower(trim(location_id)) END AS location_id
         FROM t_dirty_event""",
+    "c09_defaults": """SELECT session_id, coalesce(class_code, 'UNKNOWN') AS class_code, coalesce(class_name, 'UNKNOWN') AS class_name,
+          coalesce(instructor_id, -1) AS instructor_id, coalesce(instructor_name, 'UNKNOWN') AS instructor_name,
+          coalesce(loc_id, 'UNKNOWN') AS loc_id, coalesce(city, 'UNKNOWN') AS city,
+          coalesce(location_name, 'UNKNOWN') AS location_name, coalesce(duration_mins, 0) AS duration_mins, processed_time
+        FROM t_dirty_schedule""",
+    "c10_fill_text": """SELECT event_id, user_id, event_type, coalesce(event_ts, 'UNKNOWN') AS event_ts,
+          coalesce(location_id, 'UNKNOWN') AS location_id, duration, coalesce(phone_number, 'UNKNOWN') AS phone_number
+        FROM t_dirty_event""",
+    "c11_trim_names": """SELECT session_id, trim(class_name) AS class_name, trim(instructor_name) AS instructor_name
+        FROM t_dirty_schedule""",
+    "c20_day_parts": """SELECT DISTINCT folder,
+          CASE WHEN dated THEN CAST(left(d, 4) AS INTEGER) ELSE 2025 END AS year,
+          CASE WHEN dated THEN CAST(substring(d, 5, 2) AS INTEGER) ELSE 1 END AS month,
+          CASE WHEN dated THEN CAST(right(d, 2) AS INTEGER) ELSE 1 END AS day
+        FROM (
+          SELECT d, event_type IN ('click', 'error', 'signup') AS dated,
+            CASE event_type WHEN 'click' THEN 'events_' || d WHEN 'view' THEN 'events_' || left(d, 4)
+              WHEN 'error' THEN 'other_' || d WHEN 'signup' THEN 'events_' || d || '_x' ELSE 'events' END AS folder
+          FROM (SELECT event_type, strftime(ts, '%Y%m%d') AS d FROM events))""",
     "c12_c13_contact": """SELECT user_id, lower(trim(email)) AS email, regexp_replace(phone_number, '[^0-9]', '', 'g') AS phone_number
         FROM t_dirty_user""",
     "c14_c15_duration": """SELECT event_id, CASE WHEN duration < 0 THEN 0 ELSE duration END AS keep_null,
@@ -498,7 +524,7 @@ BODIES: dict[str, str] = {
           coalesce(regexp_replace(phone_number, '[^0-9]', '', 'g'), '') AS phone_number,
           coalesce(date_of_birth, 'unknown') AS date_of_birth, coalesce(lower(gender), 'unknown') AS gender,
           preferred_location_id, lower(created_at) AS created_at, registered AS registration_date,
-          last_seen AS last_login, 2024 AS year, 1 AS month, 15 AS day,
+          last_seen AS last_login, TIMESTAMP '2024-03-01' AS processed_timestamp, 2024 AS year, 1 AS month, 15 AS day,
           CASE WHEN duration < 0 THEN 0 ELSE duration END AS duration
         FROM t_dirty_user""",
     "c24_clean_nonpii": """SELECT DISTINCT event_id,
@@ -506,7 +532,8 @@ BODIES: dict[str, str] = {
           good_ts AS event_ts, CASE WHEN coalesce(location_id, '') = '' THEN 'unknown' ELSE lower(trim(location_id)) END AS location_id,
           CASE WHEN coalesce(duration, 0) < 0 THEN 0 ELSE coalesce(duration, 0) END AS duration,
           coalesce(regexp_replace(phone_number, '[^0-9]', '', 'g'), '') AS phone_number,
-          CAST(good_ts AS DATE) AS event_date, 2024 AS year, 1 AS month, 15 AS day
+          CAST(good_ts AS DATE) AS event_date, TIMESTAMP '2024-03-01' AS processed_timestamp,
+          2024 AS year, 1 AS month, 15 AS day
         FROM t_dirty_event""",
     "c25_schedule": """SELECT session_id, coalesce(class_code, 'UNKNOWN') AS class_code,
           trim(coalesce(class_name, 'UNKNOWN')) AS class_name, coalesce(instructor_id, -1) AS instructor_id,
@@ -564,6 +591,15 @@ BODIES: dict[str, str] = {
     "i03_ingest_batch": """SELECT DISTINCT event_id, lower(trim(event_type)) AS event_type, good_ts AS event_ts,
           2024 AS year, 1 AS month, CAST(1 + CAST(event_id AS BIGINT) % 5 AS INTEGER) AS day
         FROM t_dirty_event""",
+    "i05_lenient_ingest": """SELECT DISTINCT user_id, coalesce(lower(trim(email)), 'unknown') AS email,
+          coalesce(regexp_replace(phone_number, '[^0-9]', '', 'g'), '') AS phone_number,
+          CASE WHEN CAST(user_id AS BIGINT) % 2 = 0 THEN 2024 ELSE 2025 END AS year,
+          CASE WHEN CAST(user_id AS BIGINT) % 2 = 0 THEN 1 ELSE 5 END AS month,
+          CASE WHEN CAST(user_id AS BIGINT) % 2 = 0 THEN 7 ELSE 1 END AS day
+        FROM t_dirty_user""",
+    "i06_empty_unit": """SELECT 'non-pii/events/events_2024010' || CAST(1 + event_id % 5 AS VARCHAR) AS unit
+        FROM events GROUP BY 1 UNION ALL SELECT 'non-pii/events/events_20240109'""",
+    "t2_copies_per_folder": """SELECT DISTINCT event_id, n.day FROM t_dirty_event, (VALUES (8), (9)) AS n(day)""",
     "i07_isolation": """SELECT strftime(DATE '2024-01-01' + CAST(i AS INTEGER), 'non-pii/events/events_%Y%m%d') AS unit,
           CASE WHEN i = 5 THEN 'failed' ELSE 'loaded' END AS outcome
         FROM (SELECT DISTINCT event_id % 5 AS i FROM events UNION ALL SELECT 5)

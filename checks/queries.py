@@ -164,6 +164,13 @@ RELATIONAL: dict[str, Runner] = {
             t["fact_event"], ["processed_time"], F.col("event_type").isin(SIGNUP, CHECKIN, CANCEL), accept=None
         ).select(*PAIR, "event_id", "event_type")
     ),
+    "w1_by_two_times": over_domain(
+        lambda t: latest_state(
+            t["fact_event"],
+            ["event_ts", "processed_time"],
+            classes.in_range("event_ts", A.BOARD_MONTH, A.CUTOVER) & F.col("event_type").isin(SIGNUP, CANCEL),
+        ).select(*PAIR, "event_id")
+    ),
     "r11_anti": over_domain(anti_join),
     "r25_union_distinct": over_domain(
         lambda t: t["fact_class_attendance"].select(*PAIR).union(t["fact_event"].select(*PAIR)).distinct()
@@ -219,6 +226,11 @@ def dirty(name: str, **columns: Callable[[], Column]) -> Runner:
     return over_table(name, lambda df: df.select(*[make().alias(n) for n, make in columns.items()]))
 
 
+def folder_days() -> list[Column]:
+    """Day parts of a folder name under the strict rule with its fallback."""
+    return [c.alias(n) for n, c in clean.day_parts(clean.NON_PII.day_text(F.col("folder"))).items()]
+
+
 CLEANING: dict[str, Runner] = {
     "c01_drop_copies": over_table("dirty_events", clean.drop_copies),
     "c02_one_per_key": over_table(
@@ -234,6 +246,12 @@ CLEANING: dict[str, Runner] = {
         "dirty_events",
         lambda df: clean.map_columns(df.select("event_id", "user_id", "location_id"), text.tidy_or_unknown, ["user_id", "location_id"]),
     ),
+    "c09_defaults": over_table("dirty_schedule", lambda df: clean.fill_defaults(df, clean.SCHEDULE_DEFAULTS)),
+    "c10_fill_text": over_table("dirty_events", clean.fill_text),
+    "c11_trim_names": over_table(
+        "dirty_schedule",
+        lambda df: clean.trim_columns(df.select("session_id", "class_name", "instructor_name"), ["class_name", "instructor_name"]),
+    ),
     "c12_c13_contact": dirty(
         "dirty_users",
         user_id=lambda: F.col("user_id"),
@@ -258,13 +276,14 @@ CLEANING: dict[str, Runner] = {
         registration_date=lambda: clock.parse_moment(F.lower("registration_date")),
         last_login=lambda: clock.parse_moment(F.lower("last_login")),
     ),
+    "c20_day_parts": lambda spark, sf_dir: folder_names(spark, sf_dir).select("folder", *folder_days()),
     "c21_report": over_table("dirty_events", lambda df: clean.cleaning_report(df, clean.drop_copies(df))),
     "c22_unreadable": over_table("dirty_events", lambda df: clean.unreadable(df, "event_ts").select("event_id", "event_ts")),
     "c23_clean_pii": over_table(
-        "dirty_users", lambda df: clean.clean_pii(df, "users", "users_20240115").drop("processed_timestamp")
+        "dirty_users", lambda df: clean.clean_pii(df, "users", "users_20240115", clock.moment(A.STAMP))
     ),
     "c24_clean_nonpii": over_table(
-        "dirty_events", lambda df: clean.clean_non_pii(df, "events", "events_20240115").drop("processed_timestamp")
+        "dirty_events", lambda df: clean.clean_non_pii(df, "events", "events_20240115", clock.moment(A.STAMP))
     ),
     "c25_schedule": over_table("dirty_schedule", clean.clean_historical_schedule),
     "c26_users": over_table("dirty_snapshot", clean.clean_historical_users),
@@ -498,6 +517,38 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_cleaned(spark, paths.cleaned("events")).select(*INGESTED)
 
 
+def lenient_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data from one dated folder and one without a date."""
+    root = scratch_path(spark, "ingest-pii")
+    paths = ingest.IngestPaths(f"{root}/in", f"{root}/out", "pii")
+    people = domain_tables(spark, sf_dir)["dirty_users"]
+    folder = F.when(F.col("user_id").cast("bigint") % 2 == 0, "users_20240107").otherwise("users")
+    people.withColumn("unit", folder).write.partitionBy("unit").parquet(f"{paths.source}/pii/users")
+    ingest.ingest_pending(spark, paths, "users", clean.PII, people.schema)
+    return ingest.read_cleaned(spark, paths.cleaned("users")).select("user_id", "email", "phone_number", "year", "month", "day")
+
+
+def ledger_with_empty_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "ingest-empty")
+    paths = ingest.IngestPaths(f"{root}/in", f"{root}/out", "non-pii")
+    write_event_folders(spark, sf_dir, paths.source, F.lit(True))
+    none = domain_tables(spark, sf_dir)["dirty_events"].where("event_id is null")
+    none.write.parquet(f"{paths.source}/non-pii/events/events_20240109")
+    ingest.ingest_pending(spark, paths, "events", clean.NON_PII, DIRTY_EVENTS)
+    return manifest.read_ledger(spark, paths.ledger("events")).select("unit")
+
+
+def copies_in_two_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, with copies, in two folders of one micro-batch: one of each per folder stays."""
+    root = scratch_path(spark, "ingest-copies")
+    paths = ingest.IngestPaths(f"{root}/in", f"{root}/out", "non-pii")
+    rows = domain_tables(spark, sf_dir)["dirty_events"]
+    for folder in ("events_20240108", "events_20240109"):
+        rows.write.parquet(f"{paths.source}/non-pii/events/{folder}")
+    ingest.start_ingest(spark, paths, "events", DIRTY_EVENTS, clean.NON_PII).awaitTermination()
+    return ingest.read_cleaned(spark, paths.cleaned("events")).select("event_id", "day")
+
+
 def isolated_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder holds another type under ``event_ts``, one carries no date."""
     root = scratch_path(spark, "isolation")
@@ -547,8 +598,11 @@ STREAMS: dict[str, Runner] = {
     "i02_ledger_anti": pending_units,
     "i03_ingest_batch": batch_ingest,
     "i04_folder_names": folder_names,
+    "i05_lenient_ingest": lenient_ingest,
+    "i06_empty_unit": ledger_with_empty_folder,
     "i07_isolation": isolated_failures,
     "t1_ingest": streamed_rows,
+    "t2_copies_per_folder": copies_in_two_folders,
     "t3_state": live_result(live.live_state, list(PAIR)),
     "t4_daily": live_result(live.live_daily, ["window_start"]),
     "t4_hourly": on(live_result(live.live_hourly, ["window_start"]), live.hour_of_day_totals),

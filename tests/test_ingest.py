@@ -101,7 +101,11 @@ def test_stream_equals_batch(spark, paths, put, rows, tmp_path):
         assert result(spark, paths, rows) == result(spark, other, rows)
     assert len(result(spark, paths, rows)) == 5
     bad = spark.read.parquet(paths.quarantine("events"))
-    assert rows(bad, "unit", "event_id", "reason") == [("events_2025", "9", "folder name"), ("events_20250501", "2", "event_ts")]
+    assert rows(bad, "unit", "event_id", "reason") == [
+        ("events_2025", "9", "folder name"),
+        ("events_20250501", "2", "event_ts"),
+        ("events_20250502", "late", "late"),
+    ]
 
 
 def test_stream_repeat_after_a_crash(spark, paths, put, rows, monkeypatch):
@@ -120,6 +124,24 @@ def test_stream_repeat_after_a_crash(spark, paths, put, rows, monkeypatch):
     assert [r[0] for r in result(spark, paths, rows)] == ["1", "2"]
 
 
+def test_stream_repeat_after_a_crash_behind_the_ledger(spark, paths, put, rows, monkeypatch):
+    """The ledger already lists the folder, but the micro-batch is run again: nothing counts as late."""
+    put("events_20250501", [("1", "a", GOOD)])
+    add = ingest._add_to_ledger
+
+    def add_and_crash(*args):
+        add(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "_add_to_ledger", add_and_crash)
+    with pytest.raises(Exception):
+        run_stream(spark, paths, rows)
+    monkeypatch.undo()
+    run_stream(spark, paths, rows)
+    assert [r[0] for r in result(spark, paths, rows)] == ["1"]
+    assert spark.read.schema("event_id string").parquet(paths.quarantine("events")).count() == 0
+
+
 def test_pii_layout_keeps_day_as_data(spark, tmp_path, rows):
     paths = ingest.IngestPaths(f"{tmp_path}/in", f"{tmp_path}/out", "pii")
     people = spark.createDataFrame([("U1", " A@X "), ("U1", " A@X ")], "user_id string, email string")

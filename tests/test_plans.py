@@ -133,3 +133,20 @@ def test_hot_pair_is_combined_before_the_shuffle(spark):
     state = latest_state(df, ["event_ts"])
     found = state.where("user_id = '0'").collect()
     assert state.count() == 20_001 and [r["event_id"] for r in found] == ["039998"]
+
+
+def test_hot_folder_is_written_by_several_tasks(spark, tmp_path):
+    from turnstile.sources import sinks
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    folder = F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot"))
+    df = spark.range(0, 200_000, 1, 8).select("id", folder.alias("unit"))
+    try:
+        spark.conf.set(size, "100KB")
+        sinks.overwrite(df, str(tmp_path / "out"), partition_by=["unit"])
+    finally:
+        spark.conf.set(size, before)
+    files = {unit: len(list((tmp_path / "out" / f"unit={unit}").glob("part-*"))) for unit in ("hot", "cold")}
+    assert files["hot"] > 3 and files["cold"] <= 2
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 200_000

@@ -73,7 +73,8 @@ FACT_EVENT = """
     event_partition_date date, year int, month int
 """
 
-LEDGER = "unit string"
+# Batch job runs are listed as batch -1, streamed ones with their micro-batch number.
+LEDGER = "unit string, batch bigint"
 
 
 def struct_of(ddl: str) -> T.StructType:

@@ -37,6 +37,7 @@ from turnstile.sources.sinks import spread
 
 UNIT = "_unit"
 FOLDER = "_folder"
+LATE = "_late"
 
 
 def _replace_folders(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -73,14 +74,17 @@ def clean_units(rows: DataFrame, profile: StreamProfile, data_type: str, stamp:
     return clean_stream(rows, profile, data_type, F.col(FOLDER), stamp, scope=[UNIT, FOLDER])
 
 
-def rejected_rows(rows: DataFrame, profile: StreamProfile, data_type: str) -> DataFrame:
-    """T-5: rows of folders with an unreadable name, and event rows whose time does not parse."""
-    bad_name = ~profile.naming.is_valid(F.col(FOLDER))
-    reason = F.when(bad_name, "folder name")
+def rejection(rows: DataFrame, profile: StreamProfile, data_type: str) -> Column:
+    """T-5: why a row is set aside, null for a row without fault.
+
+    ``late`` marks files that arrived in a folder after it was loaded, ``folder name`` a name that
+    cannot be read, ``event_ts`` an event time that does not parse (such rows are loaded as well).
+    """
+    reason = F.when(F.col(LATE), "late").when(~profile.naming.is_valid(F.col(FOLDER)), "folder name")
     if data_type == "events" and "event_ts" in rows.columns:
         text = F.lower(F.trim("event_ts"))
         reason = reason.when(F.col("event_ts").isNotNull() & clock.parse_iso(text).isNull(), "event_ts")
-    return rows.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return reason
 
 
 @dataclass(frozen=True)
@@ -108,14 +112,17 @@ class IngestPaths:
 
 
 def _load_batch(
-    rows: DataFrame, paths: IngestPaths, profile: StreamProfile, data_type: str, stamp: Column | None
+    rows: DataFrame, batch: int, paths: IngestPaths, profile: StreamProfile, data_type: str, stamp: Column | None
 ) -> None:
-    """Clean, quarantine and ledger the rows of one batch."""
-    valid = rows.where(profile.naming.is_valid(F.col(FOLDER)))
+    """Clean, quarantine and ledger the rows of one micro-batch."""
+    number = F.lit(batch).cast("bigint").alias("batch")
+    valid = rows.where(~F.col(LATE) & profile.naming.is_valid(F.col(FOLDER))).drop(LATE)
     cleaned = clean_units(valid, profile, data_type, stamp).drop(UNIT)
     _replace_folders(cleaned, paths.cleaned(data_type), profile.partition_by)
-    _replace_folders(rejected_rows(rows, profile, data_type).drop(UNIT), paths.quarantine(data_type))
-    _add_to_ledger(valid.select(F.col(UNIT).alias("unit")).distinct(), paths.ledger(data_type))
+    reasons = rows.select("*", rejection(rows, profile, data_type).alias("reason"), number)
+    rejected = reasons.where(F.col("reason").isNotNull()).drop(UNIT, LATE)
+    _replace_folders(rejected, paths.quarantine(data_type), ["batch"])
+    _add_to_ledger(valid.select(F.col(UNIT).alias("unit"), number).distinct(), paths.ledger(data_type))
 
 
 def start_ingest(
@@ -130,7 +137,7 @@ def start_ingest(
     """T-1: ingest what is new, exactly once, restartable from its checkpoint.
 
     Runs until everything present is loaded, or forever with ``continuous`` as trigger interval. A
-    folder counts as complete when first seen: files that arrive in it later are not loaded. Folders
+    folder counts as complete when first seen: files that arrive in it later go to quarantine. Folders
     are never split over batches, because copies are removed per folder.
     """
     stream = (
@@ -140,12 +147,13 @@ def start_ingest(
         .transform(with_unit)
     )
 
-    def load(batch_rows: DataFrame, _batch: int) -> None:
-        session = batch_rows.sparkSession
-        done = read_ledger(session, paths.ledger(data_type)).select(F.col("unit").alias(UNIT))
-        rows = batch_rows.join(done, UNIT, "left_anti").persist()
+    def load(batch_rows: DataFrame, batch: int) -> None:
+        ledger = read_ledger(batch_rows.sparkSession, paths.ledger(data_type))
+        earlier = ledger.where(F.col("batch") < batch).select(F.col("unit").alias(UNIT)).distinct()
+        marked = batch_rows.join(earlier.withColumn(LATE, F.lit(True)), UNIT, "left")
+        rows = marked.withColumn(LATE, F.col(LATE).isNotNull()).persist()
         try:
-            _load_batch(rows, paths, profile, data_type, stamp)
+            _load_batch(rows, batch, paths, profile, data_type, stamp)
         finally:
             rows.unpersist()
 
@@ -197,7 +205,7 @@ def ingest_pending(
         rows = with_unit(reader.option("pathGlobFilter", "*.parquet").parquet(*locations))
         cleaned = clean_units(rows, profile, data_type, stamp).drop(UNIT)
         _replace_folders(cleaned, paths.cleaned(data_type), profile.partition_by)
-        _add_to_ledger(spark.createDataFrame([(unit_at[at],) for at in locations], LEDGER), ledger_path)
+        _add_to_ledger(spark.createDataFrame([(unit_at[at], -1) for at in locations], LEDGER), ledger_path)
 
     failures = dict(run_isolated(sorted(row["location"] for row in new if row["day_text"]), load))
     outcome = [
