@@ -576,7 +576,8 @@ BODIES: dict[str, str] = {
     "k07_export_csv": "SELECT * FROM r_trend",
     "k08_write_checked": "SELECT count(*) AS written, count(*) AS found, true AS ok FROM lineitem",
     "k09_verify_paths": """SELECT 'schedule' AS name, count(*) AS n, true AS ok FROM part
-        UNION ALL SELECT 'missing', NULL, false""",
+        UNION ALL SELECT 'user_snapshot', count(*), true FROM customer
+        UNION ALL SELECT 'class_attendance', NULL, false""",
     "k10_views": "SELECT month, count(*) AS n FROM t_event GROUP BY month",
     # Ingest and streams: the state of the results after the runs.
     "i01_convert": """SELECT CASE WHEN c_custkey % 2 = 0 THEN 'csv' ELSE 'json' END AS dir, c_custkey, c_name FROM customer""",

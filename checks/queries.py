@@ -12,7 +12,7 @@ from checks.adapters import TEST_SCHEMAS, domain_tables, read_test_table, wareho
 from turnstile.functions import clock, text
 from turnstile.operators import clean, rollups
 from turnstile.operators.state import CANCEL, CHECKIN, PAIR, SIGNUP, latest_state, one_per_key
-from turnstile.plans import catalog, classes, events, members, users, warehouse
+from turnstile.plans import catalog, classes, events, historical, members, users, warehouse
 from turnstile.session import scratch_path
 from turnstile.sources import manifest, readers, sinks
 from turnstile.streaming import ingest, live
@@ -410,10 +410,12 @@ def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "verify")
-    cleaned = clean.clean_historical_schedule(domain_tables(spark, sf_dir)["dirty_schedule"])
-    sinks.overwrite(cleaned, f"{root}/schedule")
-    checks = sinks.verify_paths(spark, [f"{root}/schedule", f"{root}/missing"])
+    """The historical job over two inputs and a missing one."""
+    root, tables = scratch_path(spark, "verify"), domain_tables(spark, sf_dir)
+    tables["dirty_schedule"].write.parquet(f"{root}/in/schedule")
+    tables["dirty_snapshot"].write.parquet(f"{root}/in/users")
+    inputs = {"schedule": f"{root}/in/schedule", "user_snapshot": f"{root}/in/users", "class_attendance": f"{root}/in/none"}
+    checks = historical.clean_historical(spark, inputs, f"{root}/out")
     return checks.select(F.substring_index("path", "/", -1).alias("name"), "n", "ok")
 
 

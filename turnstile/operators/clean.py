@@ -101,6 +101,11 @@ class StreamProfile:
     naming: FolderNaming
     partition_by: tuple[str, ...]
     no_day: str | None
+    type_is_first_token: bool
+
+    def base_type(self, data_type: str) -> str:
+        """What a type folder holds: its whole name, or the part before the first underscore."""
+        return data_type.split("_")[0] if self.type_is_first_token else data_type
 
     def day_text(self, folder: Column) -> Column:
         parsed = self.naming.day_text(folder)
@@ -108,9 +113,9 @@ class StreamProfile:
 
 
 # C-23: personal data. C-24: everything else.
-PII = StreamProfile(text.lower_or_unknown, not_negative, True, LENIENT_NAMING, ("year", "month"), None)
+PII = StreamProfile(text.lower_or_unknown, not_negative, True, LENIENT_NAMING, ("year", "month"), None, True)
 NON_PII = StreamProfile(
-    text.tidy_or_unknown, not_negative_or_null, False, STRICT_NAMING, ("year", "month", "day"), NO_DAY
+    text.tidy_or_unknown, not_negative_or_null, False, STRICT_NAMING, ("year", "month", "day"), NO_DAY, False
 )
 
 

@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -40,16 +40,21 @@ FOLDER = "_folder"
 LATE = "_late"
 
 
-def _replace_folders(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write ``df``, replacing what an earlier attempt left in the partitions of its folders."""
-    columns = [*partition_by, "unit"]
+def _replace_folders(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Write ``df``, replacing what an earlier attempt left in the partitions of its folders.
+
+    Returns the number of rows, observed in the writing stage.
+    """
+    columns, seen = [*partition_by, "unit"], Observation()
     (
         spread(df.withColumnRenamed(FOLDER, "unit"), columns)
+        .observe(seen, F.count(F.lit(1)).alias("written"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)
     )
+    return seen.get["written"]
 
 
 def _add_to_ledger(finished: DataFrame, path: str) -> None:
@@ -71,7 +76,7 @@ def with_unit(df: DataFrame) -> DataFrame:
 
 def clean_units(rows: DataFrame, profile: StreamProfile, data_type: str, stamp: Column | None = None) -> DataFrame:
     """T-2: clean rows of many folders at once; copies are removed within their own folder only."""
-    return clean_stream(rows, profile, data_type, F.col(FOLDER), stamp, scope=[UNIT, FOLDER])
+    return clean_stream(rows, profile, profile.base_type(data_type), F.col(FOLDER), stamp, scope=[UNIT, FOLDER])
 
 
 def rejection(rows: DataFrame, profile: StreamProfile, data_type: str) -> Column:
@@ -81,7 +86,7 @@ def rejection(rows: DataFrame, profile: StreamProfile, data_type: str) -> Column
     cannot be read, ``event_ts`` an event time that does not parse (such rows are loaded as well).
     """
     reason = F.when(F.col(LATE), "late").when(~profile.naming.is_valid(F.col(FOLDER)), "folder name")
-    if data_type == "events" and "event_ts" in rows.columns:
+    if profile.base_type(data_type) == "events" and "event_ts" in rows.columns:
         text = F.lower(F.trim("event_ts"))
         reason = reason.when(F.col("event_ts").isNotNull() & clock.parse_iso(text).isNull(), "event_ts")
     return reason
@@ -265,23 +270,29 @@ def convert_pending(spark: SparkSession, source: str, target: str, stamp: Column
 
     New files of one directory and format share a schema and are converted by one job, so the number
     of jobs follows the directories, not the files. Only the names of new files come to the driver,
-    where the readers need them. Returns one row per new file: ``converted`` or ``failed``.
+    where the readers need them. Returns one row per new file: ``converted``, ``mismatch`` when the
+    written rows were not all found again (K-8), or ``failed``.
     """
-    groups: dict[tuple[str, str], list[str]] = {}
+    groups: dict[tuple[str, str], dict[str, str]] = {}
     for row in conversion_plan(spark, source, target).where(F.col("action") == "convert").collect():
-        groups.setdefault((row["dir"], row["format"]), []).append(row["path"])
+        groups.setdefault((row["dir"], row["format"]), {})[row["path"]] = row["stem"]
 
     outcome = []
-    for (directory, fmt), paths in sorted(groups.items()):
+    for (directory, fmt), stem_of in sorted(groups.items()):
+        lost: list[str] = []
 
-        def load(some: Sequence[str], fmt: str = fmt, out: str = f"{target}/{directory}") -> None:
-            rows = READERS[fmt](spark, some)
+        def load(paths: Sequence[str], fmt=fmt, out=f"{target}/{directory}", stem_of=stem_of, lost=lost) -> None:
             unit = _stem(F.col("_metadata.file_path")).alias(FOLDER)
-            now = (F.current_timestamp() if stamp is None else stamp).cast(clock.NTZ)
-            _replace_folders(rows.select("*", now.alias("processed_time"), unit), out)
-
-        failures = dict(run_isolated(paths, load))
-        outcome += [(p, "failed" if p in failures else "converted", failures.get(p)) for p in paths]
+            now = (F.current_timestamp() if stamp is None else stamp).cast(clock.NTZ).alias("processed_time")
+            written = _replace_folders(READERS[fmt](spark, paths).select("*", now, unit), out)
+            back = spark.read.schema("unit string").parquet(out)
+            if back.where(F.col("unit").isin([stem_of[p] for p in paths])).count() != written:
+                lost.extend(paths)
+
+        failures = dict(run_isolated(sorted(stem_of), load))
+        for path in stem_of:
+            what = "failed" if path in failures else "mismatch" if path in lost else "converted"
+            outcome.append((path, what, failures.get(path)))
     return spark.createDataFrame(outcome, "path string, outcome string, message string")
 
 
