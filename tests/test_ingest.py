@@ -161,6 +161,7 @@ def test_convert(spark, tmp_path, rows):
     (raw / "b.JSON").write_text('{"n": 3, "name": "z"}\n')
     (raw / "c.xlsx").write_text("?")
     (raw / "c.csv").write_text("n,name\n4,w\n")
+    (raw / "d.csv").write_text("name,n\nq,9\n")
     (raw / "none").write_text("?")
     (raw / "zero.csv").write_text("")
     source, target = f"{tmp_path}/raw", f"{tmp_path}/parquet"
@@ -171,12 +172,14 @@ def test_convert(spark, tmp_path, rows):
         "b.JSON": "convert",
         "c.xlsx": "unsupported",
         "c.csv": "convert",
+        "d.csv": "convert",
         "none": "unsupported",
     }
     assert {what for (what,) in rows(ingest.convert_pending(spark, source, target), "outcome")} == {"converted"}
-    units = {u: spark.read.parquet(f"{target}/non-pii/events/unit={u}") for u in "abc"}
-    assert {u: rows(df, "n", "name") for u, df in units.items()} == {"a": [(1, "x")], "b": [(3, "z")], "c": [(4, "w")]}
-    assert all(df.columns == ["n", "name", "processed_time"] for df in units.values())
+    units = {u: spark.read.parquet(f"{target}/non-pii/events/unit={u}") for u in "abcd"}
+    found = {u: rows(df, "n", "name") for u, df in units.items()}
+    assert found == {"a": [(1, "x")], "b": [(3, "z")], "c": [(4, "w")], "d": [(9, "q")]}
+    assert all(sorted(df.columns) == ["n", "name", "processed_time"] for df in units.values())
     assert ingest.convert_pending(spark, source, target).count() == 0
 
 

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import adapters as A
-from checks.adapters import domain_tables
 from checks.queries import queries
 from tests.conftest import plan_text
 from turnstile.operators.clean import clean_non_pii

@@ -33,10 +33,15 @@ def _load(spark: SparkSession, fmt: str, paths: Paths, schema: StructType | str
 
 
 def read_csv(spark: SparkSession, paths: Paths, schema=None, header: bool | None = None) -> DataFrame:
-    """S-2. ``header=None`` expects a header and reads again without one if that attempt fails."""
+    """S-2. ``header=None`` expects a header and reads again without one if that attempt fails.
+
+    Files read together under an inferred schema must agree in their headers; Spark raises when one
+    does not, instead of taking its columns by position.
+    """
 
     def attempt(with_header: bool) -> DataFrame:
-        return _load(spark, "csv", paths, schema, header=with_header, inferSchema=schema is None)
+        inferred = schema is None
+        return _load(spark, "csv", paths, schema, header=with_header, inferSchema=inferred, enforceSchema=not inferred)
 
     if header is not None:
         return attempt(header)
