@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from xxhash import xxh64_intdigest
+
 from turnstile.session import scratch_path
 
 # White space that ends a word.
@@ -31,6 +34,20 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit digests of words, the same on every machine."""
+    return np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """64-bit digests of every run of ``length`` consecutive words, in order."""
+    n = len(hashes) - length + 1
+    mixed = np.zeros(max(n, 0), dtype=np.uint64)
+    for k in range(length if n > 0 else 0):
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashes[k : k + n]
+    return mixed ^ (mixed >> np.uint64(32))
+
+
 def per_text(work: Callable[[str | None], tuple], schema: str) -> Callable[[Column], Column]:
     """A struct column computed from each whole text by ``work``; null texts arrive as ``None``."""
     names = [part.split()[0] for part in schema.split(", ")]

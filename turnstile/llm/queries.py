@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstile.llm import packing, secret_scan, sharding
+from turnstile.llm import line_crf, minhash, packing, secret_scan, sharding
 from turnstile.llm.common import read
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,8 @@ def over_documents(operator: Callable[[DataFrame], DataFrame]) -> Runner:
 def queries() -> dict[str, Runner]:
     return {
         "op1_histogram_shards": over_documents(sharding.shard_report),
+        "op6_minhash_join": over_documents(minhash.near_duplicates),
+        "op7_line_crf": over_documents(line_crf.line_report),
         "op9_cost_packing": over_documents(packing.piece_report),
         "op10_secret_scan": over_documents(secret_scan.secret_report),
     }
