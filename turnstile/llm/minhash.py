@@ -36,6 +36,9 @@ _RANDOM = np.random.default_rng(20240131)
 FACTORS = _RANDOM.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _RANDOM.integers(1 << 63, size=256, dtype=np.uint64)
 ROWS_AT_ONCE = 4096
+SETS_AT_ONCE = 500
+#: Places of the filter that spares most documents the second computation of their set (4 MB), and of one part of it.
+ID_BITS, BITMAP = 1 << 25, 1 << 15
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -84,19 +87,35 @@ def sign(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     return docs.mapInArrow(signed, "doc_id long, n_shingles long, node long, postings array<long>")
 
 
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of one function over doc_id, of fixed size: which of :data:`ID_BITS` places hold an id."""
+    place = id_place(F.col("doc_id"))
+    parts = ids.groupBy((place / BITMAP).cast("long").alias("part")).agg(F.bitmap_construct_agg(place % BITMAP).alias("bits"))
+    bits = np.zeros(ID_BITS, dtype=bool)
+    for row in parts.collect():  # at most ID_BITS / BITMAP rows of BITMAP / 8 bytes
+        bits[row.part * BITMAP : (row.part + 1) * BITMAP] = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
+    return np.packbits(bits)
+
+
+def id_place(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(ID_BITS).cast("long"))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the nodes of ``wanted``, from one document each (its doc_id)."""
+    """(node, shingles) of at least the nodes of ``wanted``: the filter over their doc_id lets some others pass."""
+    bits = id_bits(wanted)
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = np.unpackbits(bits).astype(bool)
         for batch in batches:
-            sets = [shingle_set(text.as_py(), width) for text in batch.column(0)]
-            nodes = pa.array(map(set_key, sets), pa.int64())
-            yield pa.record_batch([nodes, pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+            texts = batch.column(1).filter(pa.array(passing[batch.column(0).to_numpy()]))
+            for i in range(0, len(texts), SETS_AT_ONCE):
+                sets = [shingle_set(text.as_py(), width) for text in texts.slice(i, SETS_AT_ONCE)]
+                nodes = pa.array(map(set_key, sets), pa.int64())
+                yield pa.record_batch([nodes, pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    chosen = wanted.select(F.col("doc_id").alias("_id"))
-    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(computed, "node long, shingles array<long>")
-    return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = docs.select(id_place(F.col("doc_id")), "text").mapInArrow(computed, "node long, shingles array<long>")
+    return sets.filter("node is not null")
 
 
 def similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -114,7 +133,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(node, size, doc_id, shared, prefix) of nodes that share a posting of their prefix with another node.
+    """(node, shared, prefix) of nodes that have a posting of another node in their prefix.
 
     ``shared`` has all postings with several nodes. Postings of one node are the rarest; they take up the prefix first.
     """
@@ -126,25 +145,26 @@ def prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("count", "posting"))).alias("ranked"))  # at most one per coordinate
     )
     length = F.size("ranked") - matches + 1  # the prefix of all coordinates, less postings of this node alone
-    shared = ranked.filter(length > 0).select(
+    return ranked.filter(length > 0).select(
         "node",
         F.col("ranked.posting").alias("shared"),
         F.slice(F.col("ranked.posting"), F.lit(1), length).alias("prefix"),
     )
-    return shared.join(nodes.select("node", "size", "doc_id"), "node")
 
 
-def pairs_with(posted: DataFrame, chosen: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Pairs of nodes of ``posted`` with the chosen node of the same posting, once each, with enough collisions."""
-    other = chosen.select(*[F.col(c).alias(f"{c}_b") for c in ("node", "size", "shared", "prefix", "component")], "posting")
-    first_common = F.get(F.array_intersect("prefix", "prefix_b"), F.lit(0))
-    return (
+def colliding(posted: DataFrame, chosen: DataFrame, shared: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Pairs (a, b), once each, of a node and the chosen nodes of its postings with enough collisions."""
+    other = chosen.select("posting", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "component")])
+    pairs = (
         posted.join(other, "posting")
         .filter((F.col("component") != F.col("component_b")) & similar_sizes(F.col("size"), F.col("size_b"), percent))
-        .filter(F.size(F.array_intersect("shared", "shared_b")) >= matches)
-        .filter(F.col("posting") == first_common)
         .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+        .distinct()
     )
+    left = shared.select(F.col("node").alias("a"), F.col("shared").alias("shared_a"))
+    right = shared.select(F.col("node").alias("b"), F.col("shared").alias("shared_b"))
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.filter(F.size(F.array_intersect("shared_a", "shared_b")) >= matches).select("a", "b")
 
 
 def near_duplicates(
@@ -160,30 +180,28 @@ def near_duplicates(
     nodes = rows.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("postings").alias("postings")
     )
+    nodes = stored(nodes, "minhash-nodes")
     shared = stored(prefixes(nodes, coordinates, matches), "minhash-prefixes")
     postings = shared.select("node", F.explode("prefix").alias("posting"))
     several = postings.groupBy("posting").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    posted = stored(postings.join(several.select("posting"), "posting"), "minhash-postings")
-    wanted = shared.join(posted.select("node").distinct(), "node", "left_semi")
-    sets = stored(full_sets(docs, wanted, width), "minhash-sets")
+    sized = nodes.select("node", "size", F.col("node").alias("component"), "doc_id")
+    posted = stored(postings.join(several.select("posting"), "posting").join(sized, "node"), "minhash-postings")
+    sets = stored(full_sets(docs, posted.select("doc_id").distinct(), width), "minhash-sets")
+    posted = posted.drop("doc_id")
 
     links, labels = None, None
     for choice in ("low", "high", "every"):
-        marked = posted.join(shared.drop("doc_id"), "node")
-        if labels is None:
-            marked = marked.withColumn("component", F.col("node"))
-        else:
-            marked = marked.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # Only postings with nodes of several components are left to compare.
-        ends = marked.groupBy("posting").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.min("node").alias("low"), F.max("node").alias("high")
-        ).filter("least < most")
-        left = marked.join(ends, "posting")
-        chosen = left if choice == "every" else left.filter(F.col("node") == F.col(choice))
-        pairs = pairs_with(left, chosen, matches, percent)
-        found = stored(confirm(pairs.distinct(), sets, percent), "minhash-links")
+        ends = posted.groupBy("posting").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        chosen = posted if choice == "every" else posted.join(ends, "posting").filter(F.col("node") == F.col(choice))
+        found = stored(confirm(colliding(posted, chosen, shared, matches, percent), sets, percent), "minhash-links")
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links)
+        # Only postings with nodes of several components are left to compare.
+        renewed = posted.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        apart = renewed.groupBy("posting").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
+        posted = stored(renewed.join(apart.select("posting"), "posting"), "minhash-postings")
+        if posted.isEmpty():
+            break
 
     labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     smallest = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
