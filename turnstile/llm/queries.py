@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnstile.llm import line_crf, minhash, packing, secret_scan, sharding
+from turnstile.llm import (
+    decontaminate,
+    knn_quality,
+    line_crf,
+    minhash,
+    packing,
+    phrases,
+    pseudo_likelihood,
+    secret_scan,
+    sharding,
+    token_files,
+)
 from turnstile.llm.common import read
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +27,24 @@ def over_documents(operator: Callable[[DataFrame], DataFrame]) -> Runner:
     return lambda spark, sf_dir: operator(read(spark, sf_dir, "documents"))
 
 
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Runner]:
     return {
         "op1_histogram_shards": over_documents(sharding.shard_report),
+        "op2_token_files": over_documents(token_files.token_report),
+        "op3_knn_quality": quality,
+        "op4_pseudo_likelihood": over_documents(pseudo_likelihood.score_documents),
+        "op5_phrase_automata": over_documents(phrases.repeat_report),
         "op6_minhash_join": over_documents(minhash.near_duplicates),
         "op7_line_crf": over_documents(line_crf.line_report),
+        "op8_simhash_windows": passages,
         "op9_cost_packing": over_documents(packing.piece_report),
         "op10_secret_scan": over_documents(secret_scan.secret_report),
     }
