@@ -1,9 +1,10 @@
 """Repeated-phrase automata: removes words of passages that occur earlier in the documents.
 
-Every window of 20 words holds one phrase of five words with the least hash, the same wherever the window occurs; so
+Every window of 20 words holds one phrase of eight words with the least hash, the same wherever the window occurs; so
 windows that recur have a recurring phrase in common. Recurring phrases are found by counts, and each belongs to the
-first document that has it. Documents stream through a shard of one Aho-Corasick automaton per first document, built
-of that document's recurring phrases, which locates every occurrence of them by their words. Each window around an
+first document that has it. Documents, cut to the words that a window with a recurring phrase can reach, stream through
+shards of one Aho-Corasick automaton per first document, built of that document's recurring phrases, which locates
+every occurrence of them by their words. Each window around an
 occurrence is then looked up among the first document's windows, or compared by a 128-bit digest with the windows
 that other documents have around phrases of the same kind.
 
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 from turnstile.llm.common import doc_columns, run_hashes, split_words, stored, word_hashes
 
 WINDOW = 20
-PHRASE = 5
+PHRASE = 8
 #: Documents with phrases of one first document that a task takes at most, about.
 DOCUMENTS_A_TASK = 256
 NO_ID = -(1 << 63)
+KEYS = ("first_doc", "first_digest", "part", "doc", "digest")
 
 
 def phrase_places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,41 +50,72 @@ def phrase_rows(docs: DataFrame) -> DataFrame:
             hashes = [phrase_places(split_words(text.as_py()))[1] for text in batch.column(2)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64()))], names=["doc", "digest", "phrases"])
 
-    rows = docs.select("doc", "digest", "text").mapInArrow(found, "doc long, digest long, phrases array<long>")
+    rows = docs.select("doc", "digest", "text").mapInArrow(found, "doc long, digest int, phrases array<long>")
     return rows.select("doc", "digest", F.explode("phrases").alias("phrase"))
 
 
+def cut_to_passages(placed: DataFrame) -> DataFrame:
+    """Rows with the runs of words that windows with one of their ``phrases`` can reach, in place of the text.
+
+    ``places`` says where the phrases of a first document start.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segments, starts = [], []
+            for text, phrases in zip(batch.column(5), batch.column(6)):
+                words = split_words(text.as_py())
+                places, hashes = phrase_places(words)
+                places = places[np.isin(hashes, phrases.values.to_numpy())]
+                edges = np.zeros(len(words) + 1, dtype=np.int64)
+                np.add.at(edges, np.maximum(places - (WINDOW - PHRASE), 0), 1)
+                np.add.at(edges, np.minimum(places + WINDOW, len(words)), -1)
+                turns = np.diff(np.concatenate([[0], np.cumsum(edges[:-1]) > 0, [0]]).astype(np.int8))
+                runs = zip(np.flatnonzero(turns == 1).tolist(), np.flatnonzero(turns == -1).tolist())
+                segments.append([{"start": b, "words": b" ".join(words[b:e]).decode("utf-8", "surrogatepass")} for b, e in runs])
+                starts.append(places.tolist())
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.string())]))
+            columns = [*batch.columns[:5], pa.array(segments, kind), pa.array(starts, pa.list_(pa.int32()))]
+            yield pa.record_batch(columns, names=[*KEYS, "segments", "places"])
+
+    rows = placed.select(*KEYS, "text", "phrases")
+    schema = "first_doc long, first_digest int, part int, doc long, digest int, segments array<struct<start:int,words:string>>, places array<int>"
+    return rows.mapInArrow(cut, schema)
+
+
 class Passages:
     """The automaton of one first document, and where its windows around the phrases start."""
 
-    def __init__(self, text: str, phrases: list[int]):
+    def __init__(self, segments: list[dict], places: list[int]):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
-        words = split_words(text)
-        places, hashes = phrase_places(words)
-        for place in places[np.isin(hashes, np.array(phrases, dtype=np.int64))].tolist():
-            phrase = b" ".join(words[place : place + PHRASE]).decode("utf-8", "surrogatepass")
-            self.automaton.add_word(f" {phrase} ", len(phrase))
+        for segment in segments:
+            words = segment["words"].split(" ")
+            for place in places:
+                at = place - segment["start"]
+                if 0 <= at <= len(words) - PHRASE:
+                    phrase = " ".join(words[at : at + PHRASE])
+                    self.automaton.add_word(f" {phrase} ", len(phrase))
         self.automaton.make_automaton()
         self.starts: dict[str, int] = {}
 
-    def windows(self, text: str) -> Iterator[tuple[int, str]]:
-        """Start and words of every window of ``text`` that holds one of the phrases, in order."""
-        words = split_words(text)
-        line = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
-        lengths = np.fromiter(map(len, line[1:-1].split(" ")), dtype=np.int64, count=len(words))
-        begins = np.concatenate([[1], 1 + np.cumsum(lengths + 1)])
-        found = np.array([end - length for end, length in self.automaton.iter(line)], dtype=np.int64)
-        n = len(words) - WINDOW + 1
-        if n <= 0 or not len(found):
-            return
-        places = np.searchsorted(begins, found)
-        edges = np.zeros(n + 1, dtype=np.int64)
-        np.add.at(edges, np.clip(places - (WINDOW - PHRASE), 0, n), 1)
-        np.add.at(edges, np.clip(places + 1, 0, n), -1)
-        for start in np.flatnonzero(np.cumsum(edges[:-1]) > 0).tolist():
-            yield start, line[begins[start] : begins[start + WINDOW] - 1]
+    def windows(self, segments: list[dict]) -> Iterator[tuple[int, str]]:
+        """Start and words of every window that holds one of the phrases, in order."""
+        for segment in segments:
+            line = f" {segment['words']} "
+            words = segment["words"].split(" ")
+            begins = np.concatenate([[1], 1 + np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)])
+            found = np.array([end - length for end, length in self.automaton.iter(line)], dtype=np.int64)
+            n = len(words) - WINDOW + 1
+            if n <= 0 or not len(found):
+                continue
+            places = np.searchsorted(begins, found)
+            edges = np.zeros(n + 1, dtype=np.int64)
+            np.add.at(edges, np.clip(places - (WINDOW - PHRASE), 0, n), 1)
+            np.add.at(edges, np.clip(places + 1, 0, n), -1)
+            for start in np.flatnonzero(np.cumsum(edges[:-1]) > 0).tolist():
+                yield segment["start"] + start, line[begins[start] : begins[start + WINDOW] - 1]
 
 
 def locate(routed: DataFrame) -> DataFrame:
@@ -94,10 +127,10 @@ def locate(routed: DataFrame) -> DataFrame:
             rows = []
             for row in batch.to_pylist():
                 if group != (row["first_doc"], row["first_digest"]):
-                    group, passages = (row["first_doc"], row["first_digest"]), Passages(row["text"], row["phrases"])
+                    group, passages = (row["first_doc"], row["first_digest"]), Passages(row["segments"], row["places"])
                 earlier, others, highs, lows = [], [], [], []
                 own = (row["doc"], row["digest"]) == group
-                for start, window in passages.windows(row["text"]):
+                for start, window in passages.windows(row["segments"]):
                     if own and passages.starts.setdefault(window, start) == start:
                         continue
                     if window in passages.starts:
@@ -108,11 +141,11 @@ def locate(routed: DataFrame) -> DataFrame:
                     highs.append(int.from_bytes(digest[:8], "little", signed=True))
                     lows.append(int.from_bytes(digest[8:], "little", signed=True))
                 rows.append((row["doc"], row["digest"], earlier, others, highs, lows))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             names = ["doc", "digest", "earlier", "starts", "highs", "lows"]
             yield pa.record_batch([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names)
 
-    schema = "doc long, digest long, earlier array<int>, starts array<int>, highs array<long>, lows array<long>"
+    schema = "doc long, digest int, earlier array<int>, starts array<int>, highs array<long>, lows array<long>"
     return routed.mapInArrow(located, schema)
 
 
@@ -131,13 +164,13 @@ def earlier_windows(docs: DataFrame) -> DataFrame:
     parts = shares.groupBy(*first).agg(F.ceil(F.count("*") / DOCUMENTS_A_TASK).cast("int").alias("parts"))
     split = shares.join(parts.filter("parts > 1"), first, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     part = F.when(is_first, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc", "digest"), F.col("parts")).cast("int")))
-    placed = split.select(*first, "doc", "digest", F.when(is_first, F.col("phrases")).alias("phrases"), F.explode(part).alias("part"))
+    placed = split.select(*first, "doc", "digest", "phrases", F.explode(part).alias("part"))
     texts = docs.select("doc", "digest", "text")
     routed = (
-        texts.join(placed, ["doc", "digest"])
-        .select(*first, "part", "doc", "digest", "text", "phrases")
+        cut_to_passages(texts.join(placed, ["doc", "digest"]))
+        .withColumn("later", ~is_first)
         .repartition(*first, "part")
-        .sortWithinPartitions(*first, "part", F.col("phrases").isNull(), "doc", "digest")
+        .sortWithinPartitions(*first, "part", "later", "doc", "digest")
     )
     found = stored(locate(routed), "phrase-windows")
     windows = found.select("doc", "digest", F.explode(F.arrays_zip("starts", "highs", "lows")).alias("w")).select("doc", "digest", "w.*")
@@ -164,7 +197,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the kept words joined by one blank."""
     keyed = doc_columns(docs, "doc_id", "text").select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64("text").alias("digest"),
+        F.hash("text").alias("digest"),
         "doc_id",
         "text",
     )
