@@ -151,5 +151,6 @@ def find_passages(docs: DataFrame, items: DataFrame, percent: int = PERCENT) ->
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage of ``items``, with their columns as they were."""
-    leaked = find_passages(docs, items).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    key = F.xxhash64("doc_id", "text")  # rows of one doc_id, or of none, are told apart by their text
+    leaked = find_passages(docs.select(key.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_key")).distinct()
+    return docs.join(leaked, key == F.col("_key"), "left_anti")

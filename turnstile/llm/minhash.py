@@ -211,6 +211,9 @@ def near_duplicates(
 
 
 def kept_documents(docs: DataFrame, width: int = 5, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, with their columns as they were."""
+    """The rows of ``docs`` that stand for their component, with their columns as they were.
+
+    Repeated rows of such a doc_id all stay, and rows without doc_id if one of them stands for its component.
+    """
     kept = near_duplicates(docs, width, percent).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")

@@ -126,12 +126,15 @@ def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
         for texts, spans in batches:
             yield pd.Series([cut(text, found, mask) for text, found in zip(texts, spans)], dtype=object)
 
-    found = find_secrets(docs)
-    columns = {"text": F.when(F.col("secrets.spans") == "", F.col("text")).otherwise(masked("text", "secrets.spans"))}
-    changed = found.withColumns(columns).drop("secrets")
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = find_secrets(docs.select(row.alias("row"), "text")).withColumn(
+        "masked", F.when(F.col("secrets.spans") == "", F.col("text")).otherwise(masked("text", "secrets.spans"))
+    )
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("masked")}
+    if "n_chars" in columns:
+        counted = F.char_length("masked").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("secrets.spans") == "", columns["n_chars"]).otherwise(counted)
+    return found.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def cut(text: str | None, spans: str, mask: str) -> str | None:
