@@ -184,16 +184,17 @@ def near_duplicates(
     shared = stored(prefixes(nodes, coordinates, matches), "minhash-prefixes")
     postings = shared.select("node", F.explode("prefix").alias("posting"))
     several = postings.groupBy("posting").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    sized = nodes.select("node", "size", F.col("node").alias("component"), "doc_id")
+    sized = nodes.select("node", "size", F.col("node").alias("component"))
     posted = stored(postings.join(several.select("posting"), "posting").join(sized, "node"), "minhash-postings")
-    sets = stored(full_sets(docs, posted.select("doc_id").distinct(), width), "minhash-sets")
-    posted = posted.drop("doc_id")
 
     links, labels = None, None
     for choice in ("low", "high", "every"):
         ends = posted.groupBy("posting").agg(F.min("node").alias("low"), F.max("node").alias("high"))
         chosen = posted if choice == "every" else posted.join(ends, "posting").filter(F.col("node") == F.col(choice))
-        found = stored(confirm(colliding(posted, chosen, shared, matches, percent), sets, percent), "minhash-links")
+        pairs = stored(colliding(posted, chosen, shared, matches, percent), "minhash-pairs")
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = stored(full_sets(docs, nodes.join(ends, "node").select("doc_id"), width), "minhash-sets")
+        found = stored(confirm(pairs, sets, percent), "minhash-links")
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links)
         # Only postings with nodes of several components are left to compare.
