@@ -147,3 +147,9 @@ def test_historical_cleaners(spark, rows):
     )
     cleaned = clean.clean_historical_attendance(attendance, F.lit(STAMP))
     assert rows(cleaned) == [("s1", "UNKNOWN", None, dt.datetime(2025, 5, 2))]
+
+
+def test_event_time_that_is_a_timestamp_stays(spark):
+    df = spark.sql("select 1 as user_id, timestamp_ntz '2025-05-01 10:00:00' as event_ts")
+    row = clean.clean_stream(df, clean.NON_PII, "events", "2025_05_01").first()
+    assert (str(row.event_ts), str(row.event_date)) == ("2025-05-01 10:00:00", "2025-05-01")

@@ -67,12 +67,15 @@ def test_folder_names(spark, name, strict, lenient):
 def test_materialized_result(spark, tmp_path, people, rows):
     root = str(tmp_path)
     assert rows(sinks.materialize(people, root, "My Result")) == rows(people)
-    assert (tmp_path / "my_result").is_dir()
+    assert len([p for p in tmp_path.iterdir() if p.is_dir()]) == 1
     other = people.where("n = 1")
     assert rows(sinks.materialize(other, root, "My Result")) == rows(people)
     assert rows(sinks.materialize(other, root, "My Result", max_age=dt.timedelta(hours=1))) == rows(people)
     assert rows(sinks.materialize(other, root, "My Result", max_age=dt.timedelta(0))) == rows(other)
     assert rows(sinks.materialize(people, root, "My Result", refresh=True)) == rows(people)
+    assert rows(sinks.materialize(other, root, "My Result", params={"n": 1})) == rows(other)
+    assert rows(sinks.materialize(other, root, "my_result")) == rows(other)
+    assert sinks.materialize(people.select("n"), root, "My Result").columns == ["n"]
 
 
 def test_checked_write(spark, tmp_path, people, rows):

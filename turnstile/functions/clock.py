@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 NTZ = "timestamp_ntz"
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
@@ -77,6 +78,11 @@ def parse_iso(c: Column) -> Column:
     return F.try_to_timestamp(c.cast("string"), F.lit(ISO_PATTERN)).cast(NTZ)
 
 
+def event_time(c: Column, kind: DataType) -> Column:
+    """C-16 for a column of any type: a timestamp stays as it is, everything else is read as strict text."""
+    return c.cast(NTZ) if isinstance(kind, (TimestampType, TimestampNTZType)) else parse_iso(c)
+
+
 def parse_moment(c: Column) -> Column:
     """C-18, F-9: default timestamp text, also with the separator lower-cased; else null."""
     return F.replace(c.cast("string"), F.lit("t"), F.lit(" ")).try_cast(NTZ)

@@ -139,7 +139,7 @@ def clean_stream(
     texts = set(text_columns(df)) - set(scope)
     out = {c: profile.text_rule(F.col(c)) if c in texts else F.col(c) for c in data}
     if data_type == "events" and "event_ts" in out:
-        out["event_ts"] = clock.parse_iso(out["event_ts"])
+        out["event_ts"] = clock.event_time(out["event_ts"], df.schema["event_ts"].dataType)
         out["event_date"] = out["event_ts"].cast("date")
     for name in TIME_COLUMNS.get(data_type, ()):
         if name in out:

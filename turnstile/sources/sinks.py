@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHECK_SCHEMA = "path string, n bigint, ok boolean"
 
@@ -48,18 +50,26 @@ def create_table_as(df: DataFrame, name: str, path: str, partition_by: Sequence[
     return df.sparkSession.table(name)
 
 
-def result_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{re.sub(' ', '_', name).lower()}"
+def result_path(root: str, name: str, schema: StructType, params: Mapping[str, object] | None = None) -> str:
+    """Folder of one stored result: other names, parameters or columns never share one."""
+    key = json.dumps([name, sorted((params or {}).items()), schema.jsonValue()], default=str)
+    return f"{root.rstrip('/')}/{hashlib.sha256(key.encode()).hexdigest()[:32]}"
 
 
 def materialize(
-    df: DataFrame, root: str, name: str, max_age: dt.timedelta | None = None, refresh: bool = False
+    df: DataFrame,
+    root: str,
+    name: str,
+    max_age: dt.timedelta | None = dt.timedelta(hours=1),
+    refresh: bool = False,
+    params: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """K-6, S-10: the stored result ``name`` if it is young enough, else run ``df`` and store it.
+    """K-6, S-10: the stored result ``name`` with ``params`` if it is young enough, else run ``df`` and store it.
 
-    Results live as parquet below ``root``; ``max_age=None`` accepts any age.
+    Results live as parquet below ``root``; ``max_age=None`` accepts any age. A query that takes parameters must give
+    them as ``params``.
     """
-    spark, path = df.sparkSession, result_path(root, name)
+    spark, path = df.sparkSession, result_path(root, name, df.schema, params)
     if refresh or not _is_fresh(spark, path, max_age):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

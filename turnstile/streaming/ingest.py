@@ -88,7 +88,7 @@ def rejection(rows: DataFrame, profile: StreamProfile, data_type: str) -> Column
     reason = F.when(F.col(LATE), "late").when(~profile.naming.is_valid(F.col(FOLDER)), "folder name")
     if profile.base_type(data_type) == "events" and "event_ts" in rows.columns:
         text = F.lower(F.trim("event_ts"))
-        reason = reason.when(F.col("event_ts").isNotNull() & clock.parse_iso(text).isNull(), "event_ts")
+        reason = reason.when(F.col("event_ts").isNotNull() & clock.event_time(text, rows.schema["event_ts"].dataType).isNull(), "event_ts")
     return reason
 
 
