@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 from zlib import crc32
 
 import duckdb
@@ -147,6 +148,29 @@ def test_likelihood_prefers_learnt_order(documents):
     assert all(r.log_prob <= 0 and math.isfinite(r.log_prob) for r in rows)
 
 
+def test_word_scores(spark):
+    texts = ["a b a c", "", None, "a d e f b", "a b a c", "g"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    counts = Counter(w for t in texts for w in words(t))
+    digest = lambda w: int(pseudo_likelihood.text_words([w])[0][0])
+    in_place = np.zeros(pseudo_likelihood.PLACES, dtype=np.int64)
+    for w, n in counts.items():
+        in_place[pseudo_likelihood.places_of(np.array([digest(w)]))] += n
+    classes, masses = pseudo_likelihood.classes_of(in_place)
+    weights = pseudo_likelihood.starting_weights()
+    for most in (0, 2, 1000):  # every word joined, some, none
+        found = {r.doc_id: r for r in pseudo_likelihood.score_documents(docs, 0, most).collect()}
+        for i, text in enumerate(texts):
+            at = pseudo_likelihood.places_of(pseudo_likelihood.text_words([text])[0])
+            expected = 0.0
+            for k, w in enumerate(words(text)):
+                near = [at[k + o] % pseudo_likelihood.VECTORS if 0 <= k + o < len(at) else pseudo_likelihood.OUTSIDE for o in pseudo_likelihood.OFFSETS]
+                of = classes[at[k]]
+                expected += pseudo_likelihood.forward(weights, np.array([near]))[2][0, of] + math.log(counts[w]) - masses[of]
+            assert found[i].n_words == len(words(text))
+            assert math.isclose(found[i].log_prob, expected, rel_tol=1e-5, abs_tol=1e-9)
+
+
 def test_network_gradient():
     weights = {k: v.astype(np.float64) for k, v in pseudo_likelihood.starting_weights().items()}
     around, classes = np.array([[1, 2, 3, 4], [2, 2, 9, 4096]]), np.array([3, 7])

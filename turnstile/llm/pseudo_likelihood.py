@@ -1,11 +1,14 @@
 """Masked pseudo-likelihood: a network over a window on both sides predicts every word of every document.
 
-Words are hashed to :data:`PLACES` places, whose counts over all documents part them into :data:`CLASSES` classes of
-about equal mass. The network reads the two words before and the two after a masked one: their vectors pass one hidden
-layer and give the probabilities of the class; within the class a word has its share of the counts. It is trained in
-numpy by every task on all words it reads, from common weights, for :data:`ROUNDS` rounds; after each the tasks'
-weights are averaged in proportion to their words. What tasks send for counts and weights grows with the number of
-tasks and is summed on the executors; the driver gets one set of weights.
+Every distinct word of all documents is counted in a table, the vocabulary, which stays distributed. Words are hashed
+to :data:`PLACES` places, whose counts part them into :data:`CLASSES` classes of about equal mass. The network reads the
+two words before and the two after a masked one: their vectors pass one hidden layer and give the probabilities of the
+class; within the class a word has its exact share of the counts. It is trained in numpy by every task on all words it
+reads, from common weights, for :data:`ROUNDS` rounds; after each the tasks' weights are averaged in proportion to
+their words. The driver gets one set of weights, the places' counts and those of at most :data:`HEAD` words.
+
+The counts of these most frequent words travel with the scoring function. All other words of a document are joined to
+the vocabulary; each of them is too rare to be a hot key. So no word is left out or shares its count with another.
 
 A document's score is the sum of its words' conditional log-probabilities. Null and empty texts have no words, the sum
 0 and no mean. Each row is scored alone, repeated rows alike. Other columns are never read.
@@ -17,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import doc_columns, split_words, word_hashes
+from turnstile.llm.common import doc_columns, split_words, stored, word_hashes
 
 PLACES = 1 << 15
 CLASSES = 48
@@ -30,6 +34,8 @@ OUTSIDE = VECTORS  # the vector that stands before the first and after the last
 ROUNDS = 2
 BATCH, RATE = 4096, 0.05
 CHUNK_WORDS = 1 << 19
+#: Words whose counts are sent to every task at most (1 MB), and parts of a doubling by which counts are told apart.
+HEAD, PARTS = 1 << 16, 16
 
 SHAPES = {
     "vectors": (VECTORS + 1, WIDTH),
@@ -40,12 +46,16 @@ SHAPES = {
 }
 
 
-def word_places(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the words of all texts in order, and how many each text has."""
+def text_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of the words of all texts in order, and how many each text has."""
     split = [split_words(text) for text in texts]
     counts = np.array([len(words) for words in split], dtype=np.int64)
-    found = [word_hashes(words) % np.uint64(PLACES) for words in split if words]
-    return (np.concatenate(found) if found else np.zeros(0)).astype(np.int64), counts
+    found = [word_hashes(words) for words in split if words]
+    return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)).view(np.int64), counts
+
+
+def places_of(words: np.ndarray) -> np.ndarray:
+    return words & (PLACES - 1)
 
 
 def windows(places: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -108,39 +118,61 @@ def unflatten(values: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of the batches of about CHUNK_WORDS words, with their words' places."""
+    """Parts of the batches of about CHUNK_WORDS words, with their words' digests."""
     for batch in batches:
         lengths = np.array([len(t.as_py() or "") for t in batch.column(column)], dtype=np.int64) // 6 + 1
         part_of = np.cumsum(lengths) // CHUNK_WORDS
         edges = [0, *(np.flatnonzero(np.diff(part_of)) + 1).tolist(), len(batch)]
         for b, e in zip(edges[:-1], edges[1:]):
             part = batch.slice(b, e - b)
-            yield part, *word_places(part.column(column).to_pylist())
+            yield part, *text_words(part.column(column).to_pylist())
 
 
-def place_counts(docs: DataFrame) -> np.ndarray:
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """(word, n) of every distinct word: counted by parts of a task's texts, then summed by word."""
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(PLACES, dtype=np.int64)
-        for _, places, _ in chunks(batches, 0):
-            total += np.bincount(places, minlength=PLACES)
-        yield pa.record_batch([pa.array(np.arange(PLACES)), pa.array(total)], names=["place", "n"])
+        for _, words, _ in chunks(batches, 0):
+            found, n = np.unique(words, return_counts=True)
+            yield pa.record_batch([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["word", "n"])
+
+    return docs.select("text").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
 
+def place_counts(words: DataFrame) -> np.ndarray:
     found = np.zeros(PLACES, dtype=np.int64)
-    rows = docs.select("text").mapInArrow(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    for place, n in rows.collect():  # one row per place
-        found[place] = n
+    place = F.col("word").bitwiseAND(F.lit(PLACES - 1).cast("long"))
+    for at, n in words.groupBy(place.alias("place")).agg(F.sum("n")).collect():  # one row per place
+        found[at] = n
     return found
 
 
+def with_size(words: DataFrame) -> DataFrame:
+    return words.withColumn("size", F.floor(F.log2("n") * PARTS))
+
+
+def frequent_words(words: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted digests and counts of the words of the greatest sizes, at most ``most``, and the least size of them."""
+    least, held = 1 << 30, 0
+    sizes = with_size(words).groupBy("size").agg(F.count("*").alias("n")).collect()  # at most 64 * PARTS rows
+    for size, n in sorted(sizes, reverse=True):
+        held += n
+        if held > most:
+            break
+        least = size
+    rows = sorted(with_size(words).filter(F.col("size") >= least).select("word", "n").collect())  # at most ``most``
+    found = np.array(rows, dtype=np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1], least
+
+
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each place, and the log-probability of a place within its class (each place counts once more)."""
+    """Class of each place, and the logarithm of all counts of each class."""
     order = np.argsort(-counts, kind="stable")
     mass = counts + 1.0
     before = np.cumsum(mass[order]) - mass[order] / 2
     classes = np.empty(PLACES, dtype=np.int64)
     classes[order] = np.minimum(before * CLASSES / mass.sum(), CLASSES - 1).astype(np.int64)
-    total = np.bincount(classes, mass, minlength=CLASSES)
-    return classes, np.log(mass / total[classes])
+    return classes, np.log(np.maximum(np.bincount(classes, counts, minlength=CLASSES), 1))
 
 
 def train_round(docs: DataFrame, start: dict[str, np.ndarray], classes: np.ndarray) -> dict[str, np.ndarray]:
@@ -148,7 +180,8 @@ def train_round(docs: DataFrame, start: dict[str, np.ndarray], classes: np.ndarr
         weights = {name: value.copy() for name, value in start.items()}
         squares = {name: np.zeros_like(value) for name, value in start.items()}
         words = 0
-        for _, places, counts in chunks(batches, 0):
+        for _, found, counts in chunks(batches, 0):
+            places = places_of(found)
             train(weights, squares, windows(places, counts), classes[places])
             words += len(places)
         if words:
@@ -166,23 +199,43 @@ def train_round(docs: DataFrame, start: dict[str, np.ndarray], classes: np.ndarr
     return unflatten(values)
 
 
-def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, log_prob and mean_log_prob."""
+def score_documents(docs: DataFrame, rounds: int = ROUNDS, most_frequent: int = HEAD) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, log_prob and mean_log_prob.
+
+    ``most_frequent`` bounds the words whose counts every task gets; the scores do not depend on it.
+    """
     docs = doc_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    classes, within = classes_of(place_counts(docs))
+    words = stored(vocabulary(docs), "vocabulary")
+    classes, masses = classes_of(place_counts(words))
+    head, head_counts, least = frequent_words(words, most_frequent)
     weights = starting_weights()
     for _ in range(rounds):
         weights = train_round(docs, weights, classes)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, places, counts in chunks(batches, 1):
-            around, found = windows(places, counts), np.zeros(len(places))
+        row, known = TaskContext.get().partitionId() << 40, np.append(head, 0)
+        logs = np.append(np.log(head_counts), 0.0)
+        for part, found, counts in chunks(batches, 1):
+            places = places_of(found)
+            around, wanted, chances = windows(places, counts), classes[places], np.zeros(len(places))
             for i in range(0, len(places), 4 * BATCH):
                 scores = forward(weights, around[i : i + 4 * BATCH])[2]
-                found[i : i + 4 * BATCH] = scores[np.arange(len(scores)), classes[places[i : i + 4 * BATCH]]]
-            total = np.bincount(np.repeat(np.arange(len(counts)), counts), found + within[places], minlength=len(counts))
-            columns = [part.column(0), pa.array(counts), pa.array(total, pa.float64())]
-            yield pa.record_batch(columns, names=["doc_id", "n_words", "log_prob"])
-
-    found = docs.mapInArrow(scored, "doc_id long, n_words long, log_prob double")
-    return found.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+                chances[i : i + 4 * BATCH] = scores[np.arange(len(scores)), wanted[i : i + 4 * BATCH]]
+            at = np.searchsorted(head, found)
+            frequent = (at < len(head)) & (known[at] == found)
+            chances += np.where(frequent, logs[at], 0) - masses[wanted]
+            text_of = np.repeat(np.arange(len(counts)), counts)
+            total = np.bincount(text_of, chances, minlength=len(counts))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(text_of[~frequent], minlength=len(counts)))])
+            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[~frequent], pa.int64()))
+            columns = [pa.array(row + np.arange(len(counts))), part.column(0), pa.array(counts), pa.array(total, pa.float64()), rare]
+            yield pa.record_batch(columns, names=["row", "doc_id", "n_words", "log_prob", "rare"])
+            row += len(counts)
+
+    known = stored(docs.mapInArrow(scored, "row long, doc_id long, n_words long, log_prob double, rare array<long>"), "scored-rows")
+    rare_words = with_size(words).filter(F.col("size") < least).select("word", F.log("n").alias("log_n"))
+    rare = known.select("row", F.explode("rare").alias("word")).join(rare_words, "word").groupBy("row").agg(F.sum("log_n").alias("log_n"))
+    found = known.select("row", "doc_id", "n_words", "log_prob").join(rare, "row", "left")
+    total = F.col("log_prob") + F.coalesce("log_n", F.lit(0.0))
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return found.select("doc_id", "n_words", total.alias("log_prob")).withColumn("mean_log_prob", mean)
