@@ -122,3 +122,4 @@ def test_raw_files_to_dashboard(spark, tmp_path, cleaned, rows):
     assert rows(users.gender_distribution(tables)) == [("Female", 3), ("Male", 1)]
     summary = catalog.run_query(tables, "User Behavior Analysis", "90-Day User Churn Analysis", as_of=dt.date(2025, 7, 5))
     assert rows(summary, "churn_status", "user_count") == [("Active", 1), ("Churned", 1)]
+    assert catalog.run_query(tables, "Basic Queries", "Total Event Count").first()[0] == 5

@@ -189,7 +189,8 @@ PARTITIONED = {"fact_event": ("year", "month")}
 
 
 def store_warehouse(tables: Mapping[str, DataFrame], root: str, database: str | None = None) -> Tables:
-    """K-5: write the dimensions and facts as catalogue tables; views stay views."""
+    """K-5: write the dimensions and facts as catalogue tables; views and other source tables are handed on as they are."""
     prefix = f"{database}." if database else ""
     stored = {name: create_table_as(tables[name], prefix + name, f"{root}/{name}", PARTITIONED.get(name, ())) for name in STORED}
-    return Tables({name: (lambda df=df: df) for name, df in stored.items()})
+    others = {name: (lambda name=name: tables[name]) for name in tables if name not in STORED}
+    return Tables(others | {name: (lambda df=df: df) for name, df in stored.items()})
