@@ -22,7 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are mostly content; those the base rules or the line labels reject go."""
-    return content_documents(docs)
+    return content_documents(docs, read(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
