@@ -1,8 +1,9 @@
 """Secrets by token efficiency: strings that a public vocabulary needs many tokens for are random.
 
 Three fixed patterns give the base findings. Beyond them, every run of at least :data:`MIN_RUN` key characters
-with letters and digits is encoded with a tiktoken vocabulary; a run with few characters per token is reported
-unless it is a known digest (hex of a usual length), a UUID, a number-like identifier or a path of words.
+with a letter is encoded with a tiktoken vocabulary; a run with few characters per token is reported unless it is
+a known digest (hex of a usual length), a UUID, a number-like identifier or a path of words. Of a run that a base
+finding covers in part, each part outside is judged in the same way. Runs without a letter are numbers or rulers.
 
 Null and empty texts have no findings. Each row is judged alone: repeated rows give repeated results, and other
 columns are never read. Offsets are code points, ends exclusive.
@@ -71,19 +72,35 @@ def is_known(run: str) -> bool:
     if HEX_ANY.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run):
         return True
     parts = re.split(r"[-_/=+]+", run.strip("-_/=+"))
+    if not any(c.isdigit() for c in run):  # a path or an option of words only, such as /a/b/c
+        run = run.lstrip("-_/=+")
     return bool(IDENTIFIER.fullmatch(run)) and len(run) < 8 * len(parts) + 8
 
 
-def random_spans(text: str, encoding, max_chars_per_token: float) -> list[tuple[int, int, int]]:
+def outside(start: int, end: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Parts of ``start`` to ``end`` that none of the sorted ``spans`` covers."""
+    for low, _, high in spans:
+        if low < end and start < high:
+            if start < low:
+                yield start, low
+            start = high
+    if start < end:
+        yield start, end
+
+
+def random_spans(
+    text: str, encoding, max_chars_per_token: float, base: list[tuple[int, int, int]] = ()
+) -> list[tuple[int, int, int]]:
     found = []
     for match in RUN.finditer(text):
-        run = match.group()
-        if len(run) < MIN_RUN or run.isalpha() or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-            continue
-        if is_known(run):
+        if match.end() - match.start() < MIN_RUN:
             continue
-        if len(run) <= max_chars_per_token * len(encoding.encode_ordinary(run)):
-            found.append((match.start(), 3, match.end()))
+        for start, end in outside(match.start(), match.end(), base):
+            run = text[start:end]
+            if len(run) < MIN_RUN or not any(c.isalpha() for c in run) or is_known(run):
+                continue
+            if len(run) <= max_chars_per_token * len(encoding.encode_ordinary(run)):
+                found.append((start, 3, end))
     return found
 
 
@@ -92,8 +109,7 @@ def scan(text: str | None, encoding, max_chars_per_token: float = MAX_CHARS_PER_
     # Findings of the last three kinds lie within one word, which is then at least this long.
     has_long = max(map(len, text.split()), default=0) >= min(MIN_ACCESS, MIN_HEX, MIN_RUN)
     base = base_spans(text, has_long)
-    more = random_spans(text, encoding, max_chars_per_token) if has_long else []
-    more = [s for s in more if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+    more = random_spans(text, encoding, max_chars_per_token, base) if has_long else []
     write = lambda spans: ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
     counts = [sum(kind == k for _, kind, _ in base) for k in range(3)]
     return (*counts, write(base), write(sorted(base + more)))
