@@ -19,7 +19,7 @@ from turnstile.streaming import ingest, live
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
-# Names of the 25 locations of the test tables, lower-cased.
+# Names of the 25 locations of the test tables, lower-cased, for the SQL only.
 LOCATIONS = [f"nation_{i}" for i in range(25)]
 
 
@@ -92,13 +92,17 @@ def numbers_of_text(df: DataFrame) -> DataFrame:
     )
 
 
+def pivot_of(tables: readers.Tables) -> DataFrame:
+    return rollups.month_by_location(classes.location_trend(tables, year=A.YEAR), rollups.location_names(tables["dim_location"]))
+
+
 ROLLUPS: dict[str, Runner] = {
     "p01_as_numbers": over_table("dirty_users", numbers_of_text),
     "p02_top_classes": on(popular_classes, lambda df: rollups.top(df, "attendance_count", "class_name", 5)),
     "p03_periods": on(class_times, rollups.day_periods),
     "p04_periods_zero": on(class_times, lambda df: rollups.day_periods(df.where("class_hour < 12"), keep_empty=True)),
     "p05_weekend": on(class_days, rollups.weekday_split),
-    "p06_pivot": on(location_trend, lambda df: rollups.month_by_location(df, LOCATIONS)),
+    "p06_pivot": over_domain(pivot_of),
     "p07_location_totals": on(location_trend, lambda df: rollups.totals_by(df, "location_name")),
     "p08_city_totals": on(location_trend, lambda df: rollups.totals_by(df, "city")),
     "p09_of_year": on(location_trend, lambda df: rollups.of_year(df, A.YEAR)),

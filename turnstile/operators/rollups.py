@@ -73,11 +73,18 @@ def weekday_split(
     return sums.select("period", F.coalesce(value, F.lit(0)).alias(value))
 
 
+def location_names(dim_location: DataFrame) -> list[str | None]:
+    """Every name of the dimension in the form of the trend (lower case, null too), for :func:`month_by_location`."""
+    names = dim_location.select(F.lower("location_name").alias("name")).distinct()
+    return [row["name"] for row in names.orderBy(F.asc_nulls_last("name")).collect()]
+
+
 def month_by_location(df: DataFrame, locations: Sequence[str] | None = None, value: str = "total_attendance") -> DataFrame:
     """P-6: one row per month, one column per location, 0 where nothing happened.
 
-    Naming the ``locations`` saves the job that looks them up; Spark raises rather than cut the list
-    when there are more than ``spark.sql.pivotMaxValues``.
+    Naming the ``locations`` saves the job that looks them up and keeps these alone: rows of any other
+    location are left out, so a whole report takes :func:`location_names` or no names. Without names Spark
+    raises rather than cut the list when there are more than ``spark.sql.pivotMaxValues``.
     """
     pivoted = df.groupBy("month").pivot("location_name", list(locations) if locations else None).agg(F.sum(value))
     return pivoted.na.fill(0)
