@@ -14,6 +14,7 @@ from turnstile.llm import (
     packing,
     phrases,
     pseudo_likelihood,
+    resampling,
     secret_scan,
     sharding,
     token_files,
@@ -39,6 +40,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Runner]:
     return {
         "op1_histogram_shards": over_documents(sharding.shard_report),
@@ -51,4 +56,5 @@ def queries() -> dict[str, Runner]:
         "op8_simhash_windows": passages,
         "op9_cost_packing": over_documents(packing.piece_report),
         "op10_secret_scan": over_documents(secret_scan.secret_report),
+        "op13_prefix_crc": importance,
     }
