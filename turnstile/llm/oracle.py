@@ -53,5 +53,18 @@ FROM good QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY commo
 """
 
 
+NEAREST = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_minhash_join": NEAR_DUPLICATES, "op8_simhash_windows": PASSAGES}
+    return {"op6_minhash_join": NEAR_DUPLICATES, "op8_simhash_windows": PASSAGES, "op11_columnar_search": NEAREST}

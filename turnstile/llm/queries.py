@@ -18,6 +18,7 @@ from turnstile.llm import (
     secret_scan,
     sharding,
     token_files,
+    vector_search,
 )
 from turnstile.llm.common import read
 
@@ -44,6 +45,10 @@ def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Runner]:
     return {
         "op1_histogram_shards": over_documents(sharding.shard_report),
@@ -56,5 +61,6 @@ def queries() -> dict[str, Runner]:
         "op8_simhash_windows": passages,
         "op9_cost_packing": over_documents(packing.piece_report),
         "op10_secret_scan": over_documents(secret_scan.secret_report),
+        "op11_columnar_search": neighbours,
         "op13_prefix_crc": importance,
     }
