@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NEAR_DUPLICATES = f"""
@@ -66,5 +67,24 @@ FROM s QUALIFY rank <= 5
 """
 
 
+LEXICAL = rf"""
+WITH t AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM documents
+), n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id
+), totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM n
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL
+), w AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term
+), i AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark
+), s AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+    FROM i JOIN tf USING (term) JOIN w USING (term) JOIN n USING (doc_id), totals GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_minhash_join": NEAR_DUPLICATES, "op8_simhash_windows": PASSAGES, "op11_columnar_search": NEAREST}
+    return {"op6_minhash_join": NEAR_DUPLICATES, "op8_simhash_windows": PASSAGES, "op11_columnar_search": NEAREST, "op12_rmq_search": LEXICAL}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from turnstile.llm import (
     decontaminate,
     knn_quality,
+    lexical_search,
     line_crf,
     minhash,
     packing,
@@ -49,6 +50,10 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Runner]:
     return {
         "op1_histogram_shards": over_documents(sharding.shard_report),
@@ -62,5 +67,6 @@ def queries() -> dict[str, Runner]:
         "op9_cost_packing": over_documents(packing.piece_report),
         "op10_secret_scan": over_documents(secret_scan.secret_report),
         "op11_columnar_search": neighbours,
+        "op12_rmq_search": lexical,
         "op13_prefix_crc": importance,
     }
