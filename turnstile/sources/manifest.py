@@ -6,6 +6,7 @@ from the binary file source with its content column pruned, so no file is opened
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,16 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> Da
     return reader.load(path).select("path", "length", "modificationTime").where(F.col("length") > 0)
 
 
+def row_path() -> Column:
+    """Path of the file a row was read from, spelled as in a manifest: Spark encodes it in ``_metadata``."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def literal(path: str) -> str:
+    """``path`` for a reader, where brackets, braces, stars and question marks would be patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def folder_of(path: Column) -> Column:
     """Name of the folder that holds a file; the ``unit=`` prefix of converted folders is dropped."""
     return F.regexp_extract(path, r"/(?:unit=)?([^/]+)/[^/]+$", 1)

@@ -7,6 +7,7 @@ import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,14 @@ def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """What was observed while writing; nothing where Spark saw beforehand that no row would come and left the plan out."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """K-1, K-2. Raises on failure."""
     spread(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(path)
@@ -98,16 +107,16 @@ def write_checked(df: DataFrame, path: str) -> DataFrame:
     """
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("written")).write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
+    spark, written = df.sparkSession, observed(seen).get("written", 0)
     return (
         spark.read.schema(df.schema)
         .parquet(path)
         .agg(F.count(F.lit(1)).alias("found"))
         .select(
             F.lit(path).alias("path"),
-            F.lit(seen.get["written"]).cast("bigint").alias("written"),
+            F.lit(written).cast("bigint").alias("written"),
             "found",
-            (F.col("found") == F.lit(seen.get["written"])).alias("ok"),
+            (F.col("found") == F.lit(written)).alias("ok"),
         )
     )
 

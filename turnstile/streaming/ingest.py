@@ -33,7 +33,7 @@ from turnstile.sources.manifest import (
     units,
 )
 from turnstile.sources.readers import FORMAT_BY_EXTENSION, READERS
-from turnstile.sources.sinks import spread
+from turnstile.sources.sinks import observed, spread
 
 UNIT = "_unit"
 FOLDER = "_folder"
@@ -54,7 +54,7 @@ def _replace_folders(df: DataFrame, path: str, partition_by: Sequence[str] = ())
         .partitionBy(*columns)
         .parquet(path)
     )
-    return seen.get["written"]
+    return observed(seen).get("written", 0)
 
 
 def _add_to_ledger(finished: DataFrame, path: str) -> None:
