@@ -633,5 +633,7 @@ def _pivot_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    bodies = {**BODIES, "p06_pivot": _pivot_sql()}
+    from checks import loading
+
+    bodies = {**BODIES, "p06_pivot": _pivot_sql(), **loading.SQL}
     return {name: with_tables(body) for name, body in bodies.items()}

@@ -24,10 +24,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from turnstile.functions import clock
-from turnstile.operators.clean import PII, StreamProfile
+from turnstile.operators.clean import PII, StreamProfile, clean_stream
 from turnstile.sources.manifest import FolderNaming, category_of, file_manifest, folder_of, literal, row_path, type_of
 from turnstile.sources.sinks import observed, spread
-from turnstile.streaming.ingest import FOLDER, UNIT, IngestPaths, clean_units, run_isolated
+from turnstile.streaming.ingest import FOLDER, UNIT, IngestPaths, run_isolated
 
 VERSION = ("files", "bytes", "newest", "fingerprint")
 FOLDER_LEDGER = """unit string, files bigint, bytes bigint, newest timestamp, fingerprint bigint,
@@ -36,6 +36,8 @@ REPORT = """unit string, outcome string, rows_in bigint, rows_out bigint, remove
 # Folders loaded by one job, so that a long backlog neither makes one huge job nor a plan of thousands of counters.
 FOLDERS_A_JOB = 32
 
+DATED = "_dated"  # what a folder's day is read from
+
 Schemas = Mapping[str, StructType | str]
 
 
@@ -54,15 +56,21 @@ class FolderPaths(IngestPaths):
         return f"{self.target}/_rejected/{self.category}/{data_type}"
 
 
+def dated_name(path: Column) -> Column:
+    """The name a folder's day is read from: for the partition of a converted file, its name up to the first dot."""
+    whole = folder_of(path)
+    return F.when(path.rlike(r"/unit=[^/]+/[^/]+$"), F.substring_index(whole, ".", 1)).otherwise(whole)
+
+
 def folder_versions(files: DataFrame) -> DataFrame:
     """One row per dated folder: where it lies and the version its files make up."""
     path = F.col("path")
     located = files.select(
         F.concat_ws("/", category_of(path), type_of(path), folder_of(path)).alias("unit"),
-        type_of(path).alias("data_type"), folder_of(path).alias("folder"), F.regexp_extract(path, r"^(.*)/[^/]+$", 1).alias("location"),
+        type_of(path).alias("data_type"), folder_of(path).alias("folder"), dated_name(path).alias("dated"), F.regexp_extract(path, r"^(.*)/[^/]+$", 1).alias("location"),
         F.col("length"), F.col("modificationTime"), F.xxhash64("path", "length", "modificationTime").alias("print"),
     )
-    return located.groupBy("unit", "data_type", "folder", "location").agg(
+    return located.groupBy("unit", "data_type", "folder", "dated", "location").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("newest"),
         F.bit_xor("print").alias("fingerprint"),
     )
@@ -92,7 +100,7 @@ def with_folder(df: DataFrame) -> DataFrame:
     """Name the dated folder each row was read from."""
     path = row_path()
     unit = F.concat_ws("/", category_of(path), type_of(path), folder_of(path))
-    return df.select("*", folder_of(path).alias(FOLDER), unit.alias(UNIT))
+    return df.select("*", folder_of(path).alias(FOLDER), dated_name(path).alias(DATED), unit.alias(UNIT))
 
 
 def row_fault(rows: DataFrame, profile: StreamProfile, data_type: str) -> Column:
@@ -101,7 +109,7 @@ def row_fault(rows: DataFrame, profile: StreamProfile, data_type: str) -> Column
     ``folder name`` marks a name that cannot be read, ``event_ts`` an event time that does not parse (such rows are
     loaded as well).
     """
-    reason = F.when(~profile.naming.is_valid(F.col(FOLDER)), "folder name")
+    reason = F.when(~profile.naming.is_valid(F.col(DATED)), "folder name")
     if profile.base_type(data_type) == "events" and "event_ts" in rows.columns:
         text = F.lower(F.trim("event_ts"))
         reason = reason.when(F.col("event_ts").isNotNull() & clock.event_time(text, rows.schema["event_ts"].dataType).isNull(), "event_ts")
@@ -148,11 +156,11 @@ def _load(
     Rows in and rejected rows are observed where the files are read, rows out where they are written. After the loss of
     an executor Spark may count rows read again a second time; rows out are counted once.
     """
-    folders = [row["folder"] for row in found]
+    folders, dated = [row["folder"] for row in found], [row["dated"] for row in found]
     reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
     rows = with_folder(reader.option("pathGlobFilter", "*.parquet").parquet(*[literal(row["location"]) for row in found]))
     fault, of, seen = row_fault(rows, profile, data_type), F.col(FOLDER), Observation()
-    named = all(profile_accepts(spark, profile.naming, folders))
+    named = all(profile_accepts(spark, profile.naming, dated))
     counts = [
         measure.alias(f"{kind}{i}")
         for i, name in enumerate(folders)
@@ -160,7 +168,8 @@ def _load(
     ]
     known = any(row["was_rejected"] is not None for row in found)
     if named:
-        cleaned = clean_units(rows.observe(seen, *counts), profile, data_type, stamp).drop(UNIT)
+        base, scope = profile.base_type(data_type), [UNIT, FOLDER, DATED]
+        cleaned = clean_stream(rows.observe(seen, *counts), profile, base, F.col(DATED), stamp, scope).drop(UNIT, DATED)
         out = replace_units(cleaned, paths.cleaned(data_type), profile.partition_by, folders, known)
         read, bad = ([observed(seen).get(f"{kind}{i}", 0) for i in range(len(folders))] for kind in ("in", "bad"))
     else:
@@ -168,7 +177,7 @@ def _load(
     faulty = [row for row, n in zip(found, bad, strict=True) if n or row["was_rejected"]]
     if faulty:
         names = [row["folder"] for row in faulty]
-        rejected = rows.where(of.isin(names)).select("*", fault.alias("reason")).where("reason is not null").drop(UNIT)
+        rejected = rows.where(of.isin(names)).select("*", fault.alias("reason")).where("reason is not null").drop(UNIT, DATED)
         set_aside = dict(zip(names, replace_units(rejected, paths.rejected(data_type), (), names, known)))
         bad = [set_aside.get(name, 0) for name in folders]
         read = [n if n is not None else b for n, b in zip(read, bad)]
@@ -192,7 +201,7 @@ def load_folders(
     """
     found = sorted(found, key=lambda row: row["unit"])
     row_of = {row["unit"]: row for row in found}
-    accepted = profile_accepts(spark, profile.naming, [row["folder"] for row in found])
+    accepted = profile_accepts(spark, profile.naming, [row["dated"] for row in found])
     results: dict[str, tuple] = {}
     failures: dict[str, str] = {}
 
