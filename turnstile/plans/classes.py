@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from turnstile.functions import clock, text
 from turnstile.operators.state import CANCEL, CHECKIN, PAIR, SIGNUP, latest_state
 from turnstile.plans.events import TableMap, count_per
+from turnstile.sources.zones import rows_between
 
 # The period that the dashboards report on by default.
 YEAR = 2025
@@ -94,7 +95,8 @@ def location_trend(tables: TableMap, year: int = YEAR, exact_pairs: bool = False
     same as "distinct (source, pair)", which needs one join and one aggregation. The names of a place
     depend on its id alone, so they are joined to the totals and stay out of the shuffles.
     """
-    signups = latest_state(tables["fact_event"], ["event_ts"], where=in_year("event_ts", year))
+    events = rows_between(tables, "fact_event", "event_ts", clock.moment(dt.date(year, 1, 1)), clock.moment(dt.date(year + 1, 1, 1)))
+    signups = latest_state(events, ["event_ts"], where=in_year("event_ts", year))
     attended = tables["fact_class_attendance"].select(*PAIR, F.lit(1).alias("source"))
     pairs = attended.unionAll(signups.select(*PAIR, F.lit(2).alias("source")))
     sessions = sessions_of(tables, year, "location_id", "year", "month")
@@ -120,7 +122,8 @@ def leaderboard(tables: TableMap, month: dt.date = BOARD_MONTH, limit: int = 20)
     start = month.replace(day=1)
     end = (start + dt.timedelta(days=31)).replace(day=1)
     counted = in_range("event_ts", start, end) & F.col("event_type").isin(SIGNUP, CANCEL)
-    signups = latest_state(tables["fact_event"], ["event_ts", "processed_time"], where=counted)
+    events = rows_between(tables, "fact_event", "event_ts", clock.moment(start), clock.moment(end))
+    signups = latest_state(events, ["event_ts", "processed_time"], where=counted)
     attended = tables["fact_class_attendance"].where(in_range("class_datetime", start, end))
     pairs = attended.select(*PAIR).unionAll(signups.select(*PAIR))
     counts = pairs.groupBy("user_id").agg(F.count_distinct("session_id").alias("total_classes_attended"))

@@ -14,13 +14,13 @@ from turnstile.plans.events import TableMap, count_per, since
 
 def active_users(tables: TableMap, as_of: clock.DayLike = None, days: int = 30, limit: int = 20) -> DataFrame:
     """Q-09."""
-    counts = count_per(since(tables["events"], as_of, days), "user_id", alias="activity_count")
+    counts = count_per(since(tables, as_of, days), "user_id", alias="activity_count")
     return counts.orderBy(F.desc("activity_count"), F.asc_nulls_last("user_id")).limit(limit)
 
 
 def type_preferences(tables: TableMap, as_of: clock.DayLike = None, days: int = 30, limit: int = 100) -> DataFrame:
     """Q-10."""
-    counts = count_per(since(tables["events"], as_of, days), "user_id", "event_type", alias="type_count")
+    counts = count_per(since(tables, as_of, days), "user_id", "event_type", alias="type_count")
     order = [F.asc_nulls_last("user_id"), F.desc("type_count"), F.asc_nulls_last("event_type")]
     return counts.orderBy(*order).limit(limit)
 
@@ -32,7 +32,7 @@ def engagement(
 
     Events are counted per user and day first; the second step then adds at most one row per day.
     """
-    per_day = count_per(since(tables["events"], as_of, days), "user_id", F.col("event_ts").cast("date").alias("day"))
+    per_day = count_per(since(tables, as_of, days), "user_id", F.col("event_ts").cast("date").alias("day"))
     per_user = per_day.groupBy("user_id").agg(
         F.count("day").alias("active_days"), F.sum("event_count").alias("total_events")
     )
