@@ -633,8 +633,8 @@ def _pivot_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from checks import loading, zoned
+    from checks import loading, truth, zoned
 
-    bodies = {**BODIES, "p06_pivot": _pivot_sql(), **loading.SQL}
+    bodies = {**BODIES, "p06_pivot": _pivot_sql(), **loading.SQL, **truth.SQL}
     bodies |= {name: bodies[plain] for name, plain in zoned.SAME_SQL.items()}
     return {name: with_tables(body) for name, body in bodies.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters as A
-from checks import loading, zoned
+from checks import loading, truth, zoned
 from checks.adapters import TEST_SCHEMAS, domain_tables, read_test_table, warehouse_inputs
 from turnstile.functions import clock, text
 from turnstile.operators import clean, rollups
@@ -619,4 +619,4 @@ STREAMS: dict[str, Runner] = {
 
 
 def queries() -> dict[str, Runner]:
-    return {**ANALYTIC, **ROLLUPS, **RELATIONAL, **WAREHOUSE, **CLEANING, **FILES, **STREAMS, **loading.QUERIES, **zoned.QUERIES}
+    return {**ANALYTIC, **ROLLUPS, **RELATIONAL, **WAREHOUSE, **CLEANING, **FILES, **STREAMS, **loading.QUERIES, **zoned.QUERIES, **truth.QUERIES}

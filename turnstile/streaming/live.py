@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from turnstile.functions.clock import NTZ
 from turnstile.operators.state import PAIR, SIGNUP, latest_by, newest_first
+from turnstile.sources import versions
 
 VERSION = "version"
 # Windows of seven days are counted from 1970-01-01, a Thursday; the first Monday is four days later.
@@ -91,3 +92,59 @@ def read_changelog(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
     rows = spark.read.parquet(path)
     order: list[Column] = newest_first(VERSION)
     return latest_by(rows, keys, order).drop(VERSION)
+
+
+def base_path(path: str) -> str:
+    """Where the compacted part of a change log lies."""
+    return f"{path.rstrip('/')}_base"
+
+
+def read_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Newest version of every key: the compacted base and the changes behind it.
+
+    The base's pointer says up to which batch it goes, and the condition on the batch is one on partitions: changes
+    that the base holds are not opened, so reading costs the number of keys and the changes since the last compaction.
+    """
+    line = versions.current(spark, base_path(path))
+    changes = spark.read.parquet(path)
+    if line is None:
+        return latest_by(changes, keys, newest_first(VERSION)).drop(VERSION)
+    base = versions.read_current(spark, base_path(path)).select(*changes.columns)
+    both = base.unionByName(changes.where(F.col(VERSION) > line["upto"]))
+    return latest_by(both, keys, newest_first(VERSION)).drop(VERSION)
+
+
+def compact_changelog(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Fold the changes so far into a new base.
+
+    May run beside the stream: batches that finish meanwhile are behind the new base. A batch that is repeated later
+    writes the same rows under its number again, which the base holds already.
+    """
+    line = versions.current(spark, base_path(path))
+    changes = spark.read.parquet(path)
+    behind = changes if line is None else changes.where(F.col(VERSION) > line["upto"])
+    upto = behind.agg(F.max(VERSION)).first()[0]
+    if upto is None:
+        return
+    rows = behind.where(F.col(VERSION) <= upto)
+    if line is not None:
+        rows = versions.read_current(spark, base_path(path)).select(*changes.columns).unionByName(rows)
+    versions.publish(latest_by(rows, keys, newest_first(VERSION)), base_path(path), upto)
+
+
+def without_copies(events: DataFrame, within: str, keys: Sequence[str] = ("event_id",), time: str = "event_ts") -> DataFrame:
+    """T-2 for continuous sources: of rows with equal ``keys`` and times at most ``within`` apart the first stays.
+
+    The state holds the keys of that span only. Copies further apart count as new rows, and rows older than the newest
+    time by more than ``within`` are dropped as late; folders, whose rows have no such bound, use the form that works
+    per folder. Watermarks need zoned times, so the session should run in UTC.
+    """
+    zoned = events.withColumn(time, F.col(time).cast("timestamp_ltz")).withWatermark(time, within)
+    return zoned.dropDuplicatesWithinWatermark(list(keys)).withColumn(time, F.col(time).cast(NTZ))
+
+
+def start_append(rows: DataFrame, path: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
+    """Append a stream's rows as parquet, exactly once."""
+    trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
