@@ -26,7 +26,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: cuts lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    again = df.sparkSession.read.schema(df.schema).parquet(path)
+    again.stored_at = path
+    return again
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stored` wrote and nothing that is still to run reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def split_words(text: str | None) -> list[bytes]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import stored
+from turnstile.llm.common import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "node"), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
+        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
         spread = labels.join(near, F.col("node") == F.col("a")).select(
             "node", F.col("component").alias("old"), F.least("component", "near").alias("component")
         )
@@ -26,6 +26,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         jumped = stored(
             spread.join(jump, "component", "left").select("node", "old", F.coalesce("further", "component").alias("component")), "labels"
         )
-        labels = jumped.drop("old")
+        discard(labels, spread)
+        labels = jumped
         if not jumped.filter("component <> old").limit(1).count():
-            return labels
+            discard(both)
+            return labels.drop("old")
