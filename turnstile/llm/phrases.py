@@ -50,7 +50,7 @@ def phrase_rows(docs: DataFrame) -> DataFrame:
             hashes = [phrase_places(split_words(text.as_py()))[1] for text in batch.column(2)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64()))], names=["doc", "digest", "phrases"])
 
-    rows = docs.select("doc", "digest", "text").mapInArrow(found, "doc long, digest int, phrases array<long>")
+    rows = docs.select("doc", "digest", "text").mapInArrow(found, "doc long, digest string, phrases array<long>")
     return rows.select("doc", "digest", F.explode("phrases").alias("phrase"))
 
 
@@ -79,7 +79,7 @@ def cut_to_passages(placed: DataFrame) -> DataFrame:
             yield pa.record_batch(columns, names=[*KEYS, "segments", "places"])
 
     rows = placed.select(*KEYS, "text", "phrases")
-    schema = "first_doc long, first_digest int, part int, doc long, digest int, segments array<struct<start:int,words:string>>, places array<int>"
+    schema = "first_doc long, first_digest string, part int, doc long, digest string, segments array<struct<start:int,words:string>>, places array<int>"
     return rows.mapInArrow(cut, schema)
 
 
@@ -141,11 +141,11 @@ def locate(routed: DataFrame) -> DataFrame:
                     highs.append(int.from_bytes(digest[:8], "little", signed=True))
                     lows.append(int.from_bytes(digest[8:], "little", signed=True))
                 rows.append((row["doc"], row["digest"], earlier, others, highs, lows))
-            kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             names = ["doc", "digest", "earlier", "starts", "highs", "lows"]
             yield pa.record_batch([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names)
 
-    schema = "doc long, digest int, earlier array<int>, starts array<int>, highs array<long>, lows array<long>"
+    schema = "doc long, digest string, earlier array<int>, starts array<int>, highs array<long>, lows array<long>"
     return routed.mapInArrow(located, schema)
 
 
@@ -197,7 +197,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the kept words joined by one blank."""
     keyed = doc_columns(docs, "doc_id", "text").select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.hash("text").alias("digest"),
+        # Rows of one doc_id are few; rows without one are told apart by 128 bits.
+        F.when(F.col("doc_id").isNull(), F.coalesce(F.md5("text"), F.lit(""))).otherwise(F.hash("text").cast("string")).alias("digest"),
         "doc_id",
         "text",
     )
