@@ -17,6 +17,7 @@ A document's score is the sum of its words' conditional log-probabilities. Null
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import doc_columns, split_words, stored, word_hashes
+from xxhash import xxh64_intdigest
+
+from turnstile.llm.common import doc_columns, split_words, stored
 
 PLACES = 1 << 15
 CLASSES = 48
@@ -36,6 +39,7 @@ BATCH, RATE = 4096, 0.05
 CHUNK_WORDS = 1 << 19
 #: Words whose counts are sent to every task at most (1 MB), and parts of a doubling by which counts are told apart.
 HEAD, PARTS = 1 << 16, 16
+MAX_KNOWN = 1 << 19
 
 SHAPES = {
     "vectors": (VECTORS + 1, WIDTH),
@@ -46,12 +50,23 @@ SHAPES = {
 }
 
 
-def text_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+class Digests(dict):
+    """64-bit digests of words, kept for the next time a word is met."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MAX_KNOWN:
+            self.clear()
+        value = self[word] = xxh64_intdigest(word)
+        return value
+
+
+def text_words(texts: list[str | None], known: Digests | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Digests of the words of all texts in order, and how many each text has."""
     split = [split_words(text) for text in texts]
     counts = np.array([len(words) for words in split], dtype=np.int64)
-    found = [word_hashes(words) for words in split if words]
-    return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)).view(np.int64), counts
+    digest = (Digests() if known is None else known).__getitem__
+    words = map(digest, chain.from_iterable(split))
+    return np.fromiter(words, dtype=np.uint64, count=int(counts.sum())).view(np.int64), counts
 
 
 def places_of(words: np.ndarray) -> np.ndarray:
@@ -74,21 +89,28 @@ def starting_weights() -> dict[str, np.ndarray]:
     return {name: (random.standard_normal(shape) * scale.get(name, 0)).astype(np.float32) for name, shape in SHAPES.items()}
 
 
-def forward(weights: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def activations(weights: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden values and scores of the classes, from which their exponentials' sum is still to be taken."""
     inputs = weights["vectors"][around].reshape(len(around), -1)
     hidden = np.tanh(inputs @ weights["inner"] + weights["inner_bias"])
     scores = hidden @ weights["outer"] + weights["outer_bias"]
     scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
     return inputs, hidden, scores
 
 
+def forward(weights: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden values and logarithms of the classes' probabilities."""
+    inputs, hidden, scores = activations(weights, around)
+    return inputs, hidden, scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+
+
 def train(weights: dict[str, np.ndarray], squares: dict[str, np.ndarray], around: np.ndarray, classes: np.ndarray) -> None:
     """Steps of AdaGrad over all given words, in place."""
     for i in range(0, len(classes), BATCH):
         near, wanted = around[i : i + BATCH], classes[i : i + BATCH]
-        inputs, hidden, scores = forward(weights, near)
-        error = np.exp(scores)
+        inputs, hidden, scores = activations(weights, near)
+        error = np.exp(scores, out=scores)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(wanted)), wanted] -= 1
         error /= len(wanted)
         back = (error @ weights["outer"].T) * (1 - hidden * hidden)
@@ -119,13 +141,14 @@ def unflatten(values: np.ndarray) -> dict[str, np.ndarray]:
 
 def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches of about CHUNK_WORDS words, with their words' digests."""
+    known = Digests()
     for batch in batches:
         lengths = np.array([len(t.as_py() or "") for t in batch.column(column)], dtype=np.int64) // 6 + 1
         part_of = np.cumsum(lengths) // CHUNK_WORDS
         edges = [0, *(np.flatnonzero(np.diff(part_of)) + 1).tolist(), len(batch)]
         for b, e in zip(edges[:-1], edges[1:]):
             part = batch.slice(b, e - b)
-            yield part, *text_words(part.column(column).to_pylist())
+            yield part, *text_words(part.column(column).to_pylist(), known)
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -219,8 +242,9 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, most_frequent: int =
             places = places_of(found)
             around, wanted, chances = windows(places, counts), classes[places], np.zeros(len(places))
             for i in range(0, len(places), 4 * BATCH):
-                scores = forward(weights, around[i : i + 4 * BATCH])[2]
-                chances[i : i + 4 * BATCH] = scores[np.arange(len(scores)), wanted[i : i + 4 * BATCH]]
+                scores = activations(weights, around[i : i + 4 * BATCH])[2]
+                own = scores[np.arange(len(scores)), wanted[i : i + 4 * BATCH]]
+                chances[i : i + 4 * BATCH] = own - np.log(np.exp(scores, out=scores).sum(axis=1))
             at = np.searchsorted(head, found)
             frequent = (at < len(head)) & (known[at] == found)
             chances += np.where(frequent, logs[at], 0) - masses[wanted]
