@@ -636,5 +636,6 @@ def oracle_sql() -> dict[str, str]:
     from checks import loading, truth, zoned
 
     bodies = {**BODIES, "p06_pivot": _pivot_sql(), **loading.SQL, **truth.SQL}
+    bodies["q22_hot_users"] = truth.HOT_CHURN.format(plain=bodies["q22_churned_users"])
     bodies |= {name: bodies[plain] for name, plain in zoned.SAME_SQL.items()}
     return {name: with_tables(body) for name, body in bodies.items()}

@@ -12,7 +12,7 @@ from checks.adapters import TEST_SCHEMAS, domain_tables, read_test_table
 from turnstile.functions import clock
 from turnstile.operators import clean, rollups
 from turnstile.operators.state import PAIR
-from turnstile.plans import classes, historical
+from turnstile.plans import classes, historical, users
 from turnstile.session import scratch_path
 from turnstile.sources import readers, versions
 from turnstile.streaming import live
@@ -92,7 +92,17 @@ def attendee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("session_id", "instructor_name", F.explode("attendees").alias("a")).select("session_id", "instructor_name", "a.*")
 
 
+def hot_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The churn list over a user dimension in which every tenth user has 20 rows, those users joined in parts."""
+    tables = domain_tables(spark, sf_dir)
+    copies = F.when(F.col("user_id").cast("bigint") % 10 == 0, 20).otherwise(1)
+    number = F.explode(F.sequence(F.lit(1), copies)).alias("number")
+    dim = tables["dim_user_v3"].select("*", number).withColumn("email", F.concat(F.col("number").cast("string"), F.lit("-"), F.col("email"))).drop("number")
+    return users.churned_users({**tables, "dim_user_v3": dim}, as_of=A.USERS_AS_OF, hot_rows=10)
+
+
 QUERIES: dict[str, Runner] = {
+    "q22_hot_users": hot_churn,
     "k06_refreshed": stored_counts(True),
     "s10_kept": stored_counts(False),
     "t3_compacted": compacted_state,
@@ -108,6 +118,10 @@ QUERIES: dict[str, Runner] = {
     "c27_contents": attendee_rows,
 }
 
+# Stated on top of the SQL of the plain churn list.
+HOT_CHURN = """SELECT user_id, n || '-' || email AS email, last_activity_time, days_inactive
+    FROM (SELECT *, unnest(range(1, CASE WHEN CAST(user_id AS BIGINT) % 10 = 0 AND email IS NOT NULL THEN 21 ELSE 2 END)) AS n FROM ({plain}))"""
+
 SQL = {
     "k06_refreshed": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "s10_kept": "SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY event_type",

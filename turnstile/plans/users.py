@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.functions import clock
+from turnstile.operators.joins import left_join_hot
 from turnstile.operators.state import CANCEL, CHECKIN, SIGNUP, latest_state
 from turnstile.plans.events import TableMap, count_per, since
 
@@ -76,12 +77,17 @@ def churn_summary(tables: TableMap, as_of: clock.DayLike = None, days: int = 90)
     return counts.withColumn("percentage", share).orderBy(F.desc("user_count"), "churn_status")
 
 
-def churned_users(tables: TableMap, as_of: clock.DayLike = None, days: int = 90) -> DataFrame:
-    """Q-22: every user without activity for more than ``days`` completed days, with e-mail if known."""
+def churned_users(tables: TableMap, as_of: clock.DayLike = None, days: int = 90, hot_rows: int | None = None) -> DataFrame:
+    """Q-22: every user without activity for more than ``days`` completed days, with e-mail if known.
+
+    For a user dimension that keeps duplicates and in which one user can hold a large share of the rows, ``hot_rows``
+    says from how many rows on a user is joined in parts.
+    """
     inactive = clock.whole_days(F.col("last_activity_time"), clock.moment(clock.day(as_of)))
     gone = last_activity(tables, ["event_ts"]).withColumn("days_inactive", inactive).where(F.col("days_inactive") > days)
     emails = tables["dim_user_v3"].select("user_id", "email")
-    rows = gone.join(emails, "user_id", "left").select("user_id", "email", "last_activity_time", "days_inactive")
+    joined = gone.join(emails, "user_id", "left") if hot_rows is None else left_join_hot(gone, emails, "user_id", hot_rows)
+    rows = joined.select("user_id", "email", "last_activity_time", "days_inactive")
     return rows.orderBy(F.desc("days_inactive"), F.asc_nulls_last("user_id"), F.asc_nulls_last("email"))
 
 
