@@ -1,9 +1,12 @@
 """Cases that once crashed or gave uneven or wrong results."""
 
+import pyarrow as pa
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from turnstile.llm import phrases, sharding
+from turnstile.llm import phrases, sharding, tokens
 
 DOCS = "doc_id long, text string"
 CASES = {
@@ -39,3 +42,13 @@ def test_texts_without_id_that_share_a_short_hash(spark):
     assert sum(r.n_removed for r in found if r.n_words == 50) == 50
     # Two of the three texts of 31 words share all but the last word with an earlier one, and one is a whole copy.
     assert sorted(r.n_removed for r in found if r.n_words == 31) == [0, 30, 31]
+
+
+@pytest.mark.parametrize("name,make", [("byte_bpe_50k.json", tokens.byte_bpe), ("word_bpe_49k.json", tokens.word_bpe)])
+def test_names_of_special_tokens(name, make):
+    """Ids are those of the library's own call, also where a text holds the name of a special token."""
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y $ z", "<|ENDOFTEXT|> <|endoftext|", "plain words, again", None, ""]
+    encoder = make()
+    found = [ids[b:e].tolist() for ids, bounds in encoder.encode(pa.array(texts, pa.string())) for b, e in zip(bounds[:-1], bounds[1:])]
+    assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]

@@ -2,11 +2,13 @@
 
 Both vocabularies used here break a text at white space before anything else, so a text's ids are those of its
 words in order. A bounded table of words already seen saves encoding them again; texts whose white space is of
-another kind than single blanks and line ends are encoded in one call. The result always equals that call.
+another kind than single blanks and line ends, and texts that hold the name of a special token, are encoded in one
+call. The result always equals that call of the library, with the tokenizer as its file describes it.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -41,7 +43,8 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        names = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.named = "|".join(names)  # the library reads these names in a text as the token
         self.leading, self.mark = leading, mark
         (self.mark_id,) = self.whole(mark)
         self.seen: dict[str, bytes] = {"": b""}
@@ -104,6 +107,8 @@ class TextEncoder:
         odd = pc.match_substring_regex(texts, OTHER_BLANKS)
         if self.leading:
             odd = pc.or_(odd, pc.match_substring_regex(texts, ONLY_SINGLE))
+        if self.named:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self.named))
         odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         plain = pc.if_else(odd, "", texts)
         lists = pc.split_pattern(plain, " ") if self.leading else pc.ascii_split_whitespace(plain)
