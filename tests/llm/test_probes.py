@@ -1,12 +1,14 @@
 """Cases that once crashed or gave uneven or wrong results."""
 
+import random
+
 import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from turnstile.llm import phrases, sharding, tokens
+from turnstile.llm import packing, phrases, sharding, tokens
 
 DOCS = "doc_id long, text string"
 CASES = {
@@ -52,3 +54,26 @@ def test_names_of_special_tokens(name, make):
     encoder = make()
     found = [ids[b:e].tolist() for ids, bounds in encoder.encode(pa.array(texts, pa.string())) for b, e in zip(bounds[:-1], bounds[1:])]
     assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_lowest_cost_with_room():
+    """Every piece lies in the sequence of lowest cost that had room for it; one is cut only where none had."""
+    r = random.Random(3)
+    sizes = [r.choice([r.randint(1, 200), r.randint(500, 4095), 4096, 9000]) for _ in range(900)]
+    placed = packing.pack(sizes)
+    rest = [p for p in placed if p[2] < 4096]
+    first = min(p[3] for p in rest)
+    room, cost = {}, {}
+    for s in range(first, max(p[3] for p in placed) + 1):
+        room[s], cost[s] = 4096, 0.0
+    for doc, start, length, s, offset in rest:
+        assert offset == 4096 - room[s] and length <= room[s]
+        whole = (sizes[doc] - start) % 4096 or 4096
+        able = [q for q in room if room[q] >= whole]
+        if able:
+            assert length == whole and cost[s] == min(cost[q] for q in able)
+        else:
+            assert room[s] == max(room.values()) == length
+        room[s] -= length
+        cost[s] += packing.attention_cost(length)
+    assert sum(room.values()) < 4096 and sum(p[2] for p in placed) == sum(sizes)

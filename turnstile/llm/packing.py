@@ -3,8 +3,8 @@
 The cost of a sequence is linear in its tokens plus quadratic in each piece's own length, as attention within the
 piece takes it. Every task packs groups of about :data:`GROUP_TOKENS` tokens of the rows it reads: whole sequences
 are cut off documents that reach the capacity, then the other pieces go, longest first, to the sequence of lowest
-cost that has room. There are just as many sequences as the group's tokens fill; a piece for which the cheapest
-sequences have too little room is cut, so that a group leaves less than one sequence of padding. Nothing is shuffled
+cost that has room for them. There are just as many sequences as the group's tokens fill; a piece for which none has
+room is cut, so that a group leaves less than one sequence of padding. Nothing is shuffled
 and a task holds one group, however large the table or a document group is.
 
 Null and empty texts are one end id. Every row is packed on its own, also repeated ones and those without doc_id.
@@ -28,8 +28,6 @@ from turnstile.llm.tokens import word_bpe
 CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 20
-#: Sequences looked at for one that holds a piece whole, before it is cut.
-TRIES = 16
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -51,28 +49,18 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int
             queue.append((-(size % capacity), doc, whole * capacity))
     heapq.heapify(queue)
     n = -(-sum(-size for size, _, _ in queue) // capacity)
-    filled = [0] * n
-    cheapest = [(0.0, s) for s in range(n)]  # sequences with room, by cost
+    room, costs = np.full(n, capacity, dtype=np.int64), np.zeros(n)
     while queue:
         size, doc, start = heapq.heappop(queue)
-        size, passed = -size, []
-        while cheapest and len(passed) < TRIES and capacity - filled[cheapest[0][1]] < size:
-            passed.append(heapq.heappop(cheapest))
-        if cheapest and capacity - filled[cheapest[0][1]] >= size:
-            taken = heapq.heappop(cheapest)
-        else:  # the one with most room takes a part
-            taken = min(passed or cheapest, key=lambda x: (filled[x[1]], x))
-            passed.remove(taken)
-        cost, s = taken
-        length = min(size, capacity - filled[s])
-        placed.append((doc, start, length, sequence + s, filled[s]))
-        filled[s] += length
-        if filled[s] < capacity:
-            passed.append((cost + attention_cost(length), s))
-        if length < size:
+        size = -size
+        fits = room >= size
+        s = int(np.where(fits, costs, np.inf).argmin()) if fits.any() else int(room.argmax())
+        length = min(size, int(room[s]))
+        placed.append((doc, start, length, sequence + s, capacity - int(room[s])))
+        room[s] -= length
+        costs[s] += attention_cost(length)
+        if length < size:  # no sequence has that much room left: the one with most takes a part
             heapq.heappush(queue, (length - size, doc, start + length))
-        for entry in passed:
-            heapq.heappush(cheapest, entry)
     return placed
 
 
