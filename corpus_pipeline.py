@@ -19,14 +19,20 @@ from turnstile.llm.secret_scan import mask_secrets
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Rows handed to a Python worker at once: the workers of one executor outlive a stage, and what each batch of whole
+# texts takes in them and in the buffers beside them adds up over the stages.
+BATCH_ROWS = "1000"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are mostly content; those the base rules or the line labels reject go."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return content_documents(docs, read(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return kept_documents(docs)
 
 
@@ -37,11 +43,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret masked in the text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return mask_secrets(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' tokens in sequences of at most 4096."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return piece_report(docs)
 
 
