@@ -77,6 +77,7 @@ def sign(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     """Per row: doc_id, n_shingles, node (null for an empty set) and the postings of its signature."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
         places = np.arange(coordinates, dtype=np.uint64) << np.uint64(32)
         for batch in batches:
             sizes, nodes, postings = [], [], []
@@ -114,9 +115,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int, least: int | None
     bits = id_bits(wanted)
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing = np.unpackbits(bits).astype(bool)
+        pa.default_memory_pool().release_unused()  # what earlier work left in this worker
         for batch in batches:
-            texts = batch.column(1).filter(pa.array(passing[batch.column(0).to_numpy()]))
+            place = batch.column(0).to_numpy()
+            texts = batch.column(1).filter(pa.array(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1))
             for i in range(0, len(texts), SETS_AT_ONCE):
                 sets = [shingle_set(text.as_py(), width) for text in texts.slice(i, SETS_AT_ONCE)]
                 nodes = pa.array(map(set_key, sets), pa.int64())
