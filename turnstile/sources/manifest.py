@@ -24,8 +24,13 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> Da
 
 
 def row_path() -> Column:
-    """Path of the file a row was read from, spelled as in a manifest: Spark encodes it in ``_metadata``."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    """Path of the file a row was read from, spelled as in a manifest: Spark encodes it in ``_metadata``.
+
+    This runs for every row, so a path that holds nothing encoded, as nearly all do, is left as it is.
+    """
+    path = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), decoded).otherwise(path)
 
 
 def literal(path: str) -> str:
@@ -33,17 +38,28 @@ def literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
+def _above(path: Column, levels: int) -> Column:
+    """The name ``levels`` above the file, empty for a shorter path. No pattern: these run for every row."""
+    tail = F.substring_index(path, "/", -levels - 1)
+    return F.when(tail != path, F.substring_index(tail, "/", 1)).otherwise("")
+
+
 def folder_of(path: Column) -> Column:
     """Name of the folder that holds a file; the ``unit=`` prefix of converted folders is dropped."""
-    return F.regexp_extract(path, r"/(?:unit=)?([^/]+)/[^/]+$", 1)
+    name = _above(path, 1)
+    return F.when(name.startswith("unit=") & (name != "unit="), F.substring(name, 6, 1 << 30)).otherwise(name)
 
 
 def type_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"/([^/]+)/[^/]+/[^/]+$", 1)
+    return _above(path, 2)
 
 
 def category_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"/([^/]+)/[^/]+/[^/]+/[^/]+$", 1)
+    return _above(path, 3)
 
 
 @dataclass(frozen=True)

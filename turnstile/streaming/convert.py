@@ -25,7 +25,7 @@ from pyspark.sql.types import StructField, StringType, StructType
 
 from turnstile.functions import clock
 from turnstile.schemas import struct_of
-from turnstile.sources.manifest import literal, row_path
+from turnstile.sources.manifest import file_name, literal, row_path
 from turnstile.sources.readers import FORMAT_BY_EXTENSION
 from turnstile.sources.sinks import observed, spread
 from turnstile.streaming.folders import empty_partitions
@@ -41,10 +41,6 @@ def below(root: str) -> Column:
     return F.substring_index(F.col("path"), root.rstrip("/").split("://")[-1].removeprefix("file:") + "/", -1)
 
 
-def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
-
-
 def read_file_ledger(spark: SparkSession, target: str) -> DataFrame:
     """Last outcome of every file; no ledger yet is an empty one."""
     try:
