@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.functions import clock, text
+from turnstile.sources.manifest import in_parts
 from turnstile.sources.readers import Tables
 
 YEAR = 2024
@@ -112,7 +113,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> Tables:
         )
 
     def fact_class_attendance() -> DataFrame:
-        lines, orders = table("lineitem"), table("orders").select("o_orderkey", "o_custkey")
+        lines, orders = in_parts(table("lineitem"), "l_orderkey"), table("orders").select("o_orderkey", "o_custkey")
         user, session = key("o_custkey"), key("l_partkey")
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
             text.attendance_key(user, session).alias("attendance_id"),

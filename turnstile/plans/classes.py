@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from turnstile.functions import clock, text
 from turnstile.operators.state import CANCEL, CHECKIN, PAIR, SIGNUP, latest_state
 from turnstile.plans.events import TableMap, count_per
+from turnstile.sources.manifest import in_parts
 from turnstile.sources.zones import rows_between
 
 # The period that the dashboards report on by default.
@@ -81,11 +82,17 @@ def sessions_of(tables: TableMap, year: int, *columns: str) -> DataFrame:
     return tables["dim_class_session"].where(F.col("year") == year).select("session_id", *columns).distinct()
 
 
-def _distinct_pairs(exact_pairs: bool, *more: str) -> Column:
-    """Distinct (user, session): joined without a separator, or by both columns when ``exact_pairs``."""
-    user, session = F.col("user_id"), F.col("session_id")
-    pair = [user, session] if exact_pairs else [text.pair_key(user, session)]
-    return F.count_distinct(*[F.col(c) for c in more], *pair)
+def _count_pairs(rows: DataFrame, keys: Sequence[str], exact_pairs: bool, alias: str, *more: str) -> DataFrame:
+    """Distinct (user, session) per ``keys``: joined without a separator, or by both columns when ``exact_pairs``.
+
+    Nearly every pair differs, so collecting them in the tasks before the shuffle would only fill memory: large inputs
+    are dealt by pair first, and the same shuffle serves the grouping.
+    """
+    pair = list(PAIR) if exact_pairs else ["pair"]
+    named = rows if exact_pairs else rows.withColumn("pair", text.pair_key(F.col("user_id"), F.col("session_id")))
+    whole = named.select(*keys, *more, *pair)
+    counted = F.count_if(F.concat(*[F.col(c) for c in pair]).isNotNull()).alias(alias)
+    return in_parts(whole, *whole.columns).distinct().groupBy(*keys).agg(counted)
 
 
 def location_trend(tables: TableMap, year: int = YEAR, exact_pairs: bool = False) -> DataFrame:
@@ -100,10 +107,7 @@ def location_trend(tables: TableMap, year: int = YEAR, exact_pairs: bool = False
     attended = tables["fact_class_attendance"].select(*PAIR, F.lit(1).alias("source"))
     pairs = attended.unionAll(signups.select(*PAIR, F.lit(2).alias("source")))
     sessions = sessions_of(tables, year, "location_id", "year", "month")
-    counts = pairs.join(sessions, "session_id")
-    totals = counts.groupBy("location_id", "year", "month").agg(
-        _distinct_pairs(exact_pairs, "source").alias("total_attendance")
-    )
+    totals = _count_pairs(pairs.join(sessions, "session_id"), ["location_id", "year", "month"], exact_pairs, "total_attendance", "source")
     city, name = F.lower("city").alias("city"), F.lower("location_name").alias("location_name")
     places = tables["dim_location"].select("location_id", city, name).distinct()
     columns = ["location_id", "city", "location_name", "year", "month", "total_attendance"]
@@ -139,6 +143,5 @@ def popular_classes(tables: TableMap, year: int = YEAR, limit: int = 10, exact_p
     """Q-21: classes by distinct pairs; a pair found in both sources counts once."""
     signups = latest_state(tables["fact_event"], ["processed_time"], where=F.col("year") == year)
     pairs = tables["fact_class_attendance"].select(*PAIR).unionAll(signups.select(*PAIR))
-    counts = pairs.join(sessions_of(tables, year, "class_name"), "session_id").groupBy("class_name")
-    totals = counts.agg(_distinct_pairs(exact_pairs).alias("attendance_count"))
+    totals = _count_pairs(pairs.join(sessions_of(tables, year, "class_name"), "session_id"), ["class_name"], exact_pairs, "attendance_count")
     return totals.orderBy(F.desc("attendance_count"), F.asc_nulls_last("class_name")).limit(limit)

@@ -8,12 +8,17 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.schemas import LEDGER
 
+# Bytes of input files for one partition of a grouping, and below which an input is not dealt anew.
+PART_BYTES = 4 << 20
+SMALL_BYTES = 32 << 20
+
 
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """S-7: path, length and modification time of every non-empty file below ``path``."""
@@ -48,6 +53,25 @@ def _above(path: Column, levels: int) -> Column:
     return F.when(tail != path, F.substring_index(tail, "/", 1)).otherwise("")
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads; 0 where it reads none. No file is opened."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").load([literal(unquote(f)) for f in files])
+    return listed.agg(F.sum("length")).first()[0] or 0
+
+
+def in_parts(df: DataFrame, *keys: str) -> DataFrame:
+    """Large inputs dealt by ``keys`` to partitions whose number follows the bytes read.
+
+    A task then holds as much however large the input is; the number of partitions that a session fixes, or those that
+    are coalesced, would let it grow. Inputs below ``SMALL_BYTES`` stay as they are.
+    """
+    size = input_bytes(df)
+    return df.repartition(-(-size // PART_BYTES), *keys) if size >= SMALL_BYTES else df
+
+
 def folder_of(path: Column) -> Column:
     """Name of the folder that holds a file; the ``unit=`` prefix of converted folders is dropped."""
     name = _above(path, 1)
