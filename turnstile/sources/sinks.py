@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHECK_SCHEMA = "path string, n bigint, ok boolean"
+# A file holds one row group as a rule, and one task reads that: more files let more tasks read a folder.
+ROWS_A_FILE = 250_000
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -27,7 +27,7 @@ from turnstile.functions import clock
 from turnstile.schemas import struct_of
 from turnstile.sources.manifest import file_name, literal, row_path
 from turnstile.sources.readers import FORMAT_BY_EXTENSION
-from turnstile.sources.sinks import observed, spread
+from turnstile.sources.sinks import ROWS_A_FILE, observed, spread
 from turnstile.streaming.folders import empty_partitions
 from turnstile.streaming.ingest import run_isolated
 
@@ -110,7 +110,7 @@ def typed(rows: DataFrame, declared: StructType | None) -> tuple[list[Column], C
 
 def _write_units(df: DataFrame, path: str) -> None:
     writer = spread(df, [UNIT]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(UNIT).parquet(path)
+    writer.option("maxRecordsPerFile", ROWS_A_FILE).partitionBy(UNIT).parquet(path)
 
 
 def _counts(df: DataFrame, name: Column) -> dict[str, int]:

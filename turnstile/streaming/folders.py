@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 from turnstile.functions import clock
 from turnstile.operators.clean import PII, StreamProfile, clean_stream
 from turnstile.sources.manifest import FolderNaming, category_of, file_manifest, folder_of, literal, row_path, type_of
-from turnstile.sources.sinks import observed, spread
+from turnstile.sources.sinks import ROWS_A_FILE, observed, spread
 from turnstile.streaming.ingest import FOLDER, UNIT, IngestPaths, run_isolated
 
 VERSION = ("files", "bytes", "newest", "fingerprint")
@@ -137,6 +137,7 @@ def replace_units(df: DataFrame, path: str, partition_by: Sequence[str], folders
         .observe(seen, *counts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", ROWS_A_FILE)
         .partitionBy(*columns)
         .parquet(path)
     )
