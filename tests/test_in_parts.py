@@ -5,6 +5,7 @@ import pytest
 from checks import queries as Q
 from checks.adapters import read_test_table
 from tests.conftest import plan_text
+from turnstile.plans import classes
 from turnstile.sources import manifest
 
 SF = "/root/testdata/sf0.001"
@@ -29,6 +30,18 @@ def test_parts_follow_the_input_and_leave_results_alone(spark, monkeypatch, name
     assert plan_text(dealt).count("REPARTITION_BY_NUM") >= 2
 
 
+@pytest.mark.parametrize("name", ["q19_location_trend", "p06_pivot", "q21_popular_classes", "p02_top_classes"])
+def test_large_session_dimensions_are_not_held_whole(spark, monkeypatch, name):
+    monkeypatch.setattr(classes, "SENT_BYTES", 1 << 40)
+    sent = Q.queries()[name](spark, SF)
+    small = [tuple(r) for r in sent.collect()]
+    monkeypatch.setattr(classes, "SENT_BYTES", 1)
+    parted = Q.queries()[name](spark, SF)
+    assert [tuple(r) for r in parted.collect()] == small and small
+    assert "BroadcastHashJoin [session_id" in plan_text(sent)
+    assert "BroadcastHashJoin [session_id" not in plan_text(parted) and "ShuffledHashJoin [session_id" in plan_text(parted)
+
+
 def test_files_of_a_converted_folder_are_bounded(spark, monkeypatch, tmp_path):
     from turnstile.streaming import convert
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from turnstile.functions import clock, text
 from turnstile.operators.state import CANCEL, CHECKIN, PAIR, SIGNUP, latest_state
 from turnstile.plans.events import TableMap, count_per
-from turnstile.sources.manifest import in_parts
+from turnstile.sources.manifest import in_parts, input_bytes
 from turnstile.sources.zones import rows_between
 
 # The period that the dashboards report on by default.
@@ -20,6 +20,9 @@ MONTHS = (4, 5)
 CUTOVER = dt.date(2025, 5, 1)
 BOARD_MONTH = dt.date(2025, 4, 1)
 
+# Bytes of files of a session dimension from which it is not sent whole to every task.
+SENT_BYTES = 1 << 20
+
 
 def in_range(column: str, start: dt.date, end: dt.date) -> Column:
     """R-7: half-open range written on the bare column, so it reaches the scan."""
@@ -82,6 +85,17 @@ def sessions_of(tables: TableMap, year: int, *columns: str) -> DataFrame:
     return tables["dim_class_session"].where(F.col("year") == year).select("session_id", *columns).distinct()
 
 
+def _with_sessions(pairs: DataFrame, sessions: DataFrame) -> DataFrame:
+    """``pairs`` joined to their sessions.
+
+    Spark chooses a broadcast by bytes of compressed files, of which a table in memory takes some forty times as many in
+    every task, and AQE does not take the choice back where that needs one more shuffle. Of dimensions of
+    ``SENT_BYTES`` or more a task holds its part of the sessions only and streams the pairs, which no sort keeps; AQE
+    splits hot sessions there.
+    """
+    return pairs.join(sessions.hint("shuffle_hash") if input_bytes(sessions) >= SENT_BYTES else sessions, "session_id")
+
+
 def _count_pairs(rows: DataFrame, keys: Sequence[str], exact_pairs: bool, alias: str, *more: str) -> DataFrame:
     """Distinct (user, session) per ``keys``: joined without a separator, or by both columns when ``exact_pairs``.
 
@@ -107,7 +121,7 @@ def location_trend(tables: TableMap, year: int = YEAR, exact_pairs: bool = False
     attended = tables["fact_class_attendance"].select(*PAIR, F.lit(1).alias("source"))
     pairs = attended.unionAll(signups.select(*PAIR, F.lit(2).alias("source")))
     sessions = sessions_of(tables, year, "location_id", "year", "month")
-    totals = _count_pairs(pairs.join(sessions, "session_id"), ["location_id", "year", "month"], exact_pairs, "total_attendance", "source")
+    totals = _count_pairs(_with_sessions(pairs, sessions), ["location_id", "year", "month"], exact_pairs, "total_attendance", "source")
     city, name = F.lower("city").alias("city"), F.lower("location_name").alias("location_name")
     places = tables["dim_location"].select("location_id", city, name).distinct()
     columns = ["location_id", "city", "location_name", "year", "month", "total_attendance"]
@@ -143,5 +157,5 @@ def popular_classes(tables: TableMap, year: int = YEAR, limit: int = 10, exact_p
     """Q-21: classes by distinct pairs; a pair found in both sources counts once."""
     signups = latest_state(tables["fact_event"], ["processed_time"], where=F.col("year") == year)
     pairs = tables["fact_class_attendance"].select(*PAIR).unionAll(signups.select(*PAIR))
-    totals = _count_pairs(pairs.join(sessions_of(tables, year, "class_name"), "session_id"), ["class_name"], exact_pairs, "attendance_count")
+    totals = _count_pairs(_with_sessions(pairs, sessions_of(tables, year, "class_name")), ["class_name"], exact_pairs, "attendance_count")
     return totals.orderBy(F.desc("attendance_count"), F.asc_nulls_last("class_name")).limit(limit)
