@@ -17,17 +17,17 @@ A document's score is the sum of its words' conditional log-probabilities. Null
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xxhash import xxh64_intdigest
 
-from turnstile.llm.common import doc_columns, split_words, stored
+from turnstile.llm.common import BLANKS, doc_columns, stored
 
 PLACES = 1 << 15
 CLASSES = 48
@@ -39,7 +39,18 @@ BATCH, RATE = 4096, 0.05
 CHUNK_WORDS = 1 << 19
 #: Words whose counts are sent to every task at most (1 MB), and parts of a doubling by which counts are told apart.
 HEAD, PARTS = 1 << 16, 16
-MAX_KNOWN = 1 << 19
+#: Bytes that are summed up at once, and of a word above which it is digested alone.
+SPAN, LONG = 1 << 16, 64
+_RANDOM = np.random.default_rng(20240229)
+LETTERS = _RANDOM.integers(1 << 64, size=256, dtype=np.uint64)
+FACTOR = 0x9E3779B97F4A7C15
+POWERS, INVERSES = (
+    np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(SPAN, f, np.uint64)]))
+    for f in (FACTOR, pow(FACTOR, -1, 1 << 64))
+)
+IN_WORD = ~np.isin(np.arange(256), list(BLANKS.encode()))
+#: Scores of classes up to which their exponentials are taken as they are.
+SAFE = 80
 
 SHAPES = {
     "vectors": (VECTORS + 1, WIDTH),
@@ -50,23 +61,46 @@ SHAPES = {
 }
 
 
-class Digests(dict):
-    """64-bit digests of words, kept for the next time a word is met."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_KNOWN:
-            self.clear()
-        value = self[word] = xxh64_intdigest(word)
-        return value
-
-
-def text_words(texts: list[str | None], known: Digests | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of the words of all texts in order, and how many each text has."""
-    split = [split_words(text) for text in texts]
-    counts = np.array([len(words) for words in split], dtype=np.int64)
-    digest = (Digests() if known is None else known).__getitem__
-    words = map(digest, chain.from_iterable(split))
-    return np.fromiter(words, dtype=np.uint64, count=int(counts.sum())).view(np.int64), counts
+def word_bounds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, where their words start and end there, and how many words each text has."""
+    column = texts.fill_null("").cast(pa.large_binary())
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+    edges = edges - edges[0]
+    full = IN_WORD[data]
+    first, last = full.copy(), full.copy()
+    first[1:] &= ~full[:-1]
+    last[:-1] &= ~full[1:]
+    some = edges[1:] > edges[:-1]  # words end with their text
+    first[edges[:-1][some]] = full[edges[:-1][some]]
+    last[edges[1:][some] - 1] = full[edges[1:][some] - 1]
+    starts = np.flatnonzero(first)
+    return data, starts, np.flatnonzero(last) + 1, np.diff(np.searchsorted(starts, edges))
+
+
+def text_words(texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit digests of the words of all texts in order, and how many each text has.
+
+    A digest is a polynomial in random values of the word's bytes: sums up to every byte, a span of bytes at a time,
+    give those of all words. Long words, for which such polynomials are weaker, have a digest of their own.
+    """
+    data, starts, ends, counts = word_bounds(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+    found = np.zeros(len(starts), dtype=np.uint64)
+    sums, i = np.zeros(SPAN + 1, dtype=np.uint64), 0
+    while i < len(starts):
+        at = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, at + SPAN, side="right")))
+        n = ends[j - 1] - at
+        if n <= SPAN:
+            np.cumsum(LETTERS[data[at : at + n]] * POWERS[:n], out=sums[1 : n + 1])
+            found[i:j] = (sums[ends[i:j] - at] - sums[starts[i:j] - at]) * INVERSES[starts[i:j] - at]
+        i = j
+    found ^= found >> np.uint64(32)
+    found *= np.uint64(0xBF58476D1CE4E5B9)
+    found ^= found >> np.uint64(29)
+    for k in np.flatnonzero(ends - starts > LONG):
+        found[k] = xxh64_intdigest(data[starts[k] : ends[k]])
+    return found.view(np.int64), counts
 
 
 def places_of(words: np.ndarray) -> np.ndarray:
@@ -79,7 +113,7 @@ def windows(places: np.ndarray, counts: np.ndarray) -> np.ndarray:
     shift = np.repeat(np.arange(len(counts)) * reach, counts) + reach  # a gap before each text
     line = np.full(len(places) + (len(counts) + 1) * reach, OUTSIDE, dtype=np.int64)
     at = np.arange(len(places)) + shift
-    line[at] = places % VECTORS
+    line[at] = places & (VECTORS - 1)
     return np.stack([line[at + offset] for offset in OFFSETS], axis=1)
 
 
@@ -90,14 +124,26 @@ def starting_weights() -> dict[str, np.ndarray]:
 
 
 def activations(weights: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, hidden values and scores of the classes, from which their exponentials' sum is still to be taken."""
-    inputs = weights["vectors"][around].reshape(len(around), -1)
-    hidden = np.tanh(inputs @ weights["inner"] + weights["inner_bias"])
-    scores = hidden @ weights["outer"] + weights["outer_bias"]
-    scores -= scores.max(axis=1, keepdims=True)
+    """Inputs, hidden values and scores of the classes, from which their exponentials' sum is still to be taken.
+
+    The scores are small enough for exponentials.
+    """
+    inputs = np.take(weights["vectors"], around, axis=0).reshape(len(around), -1)
+    hidden = inputs @ weights["inner"]
+    hidden += weights["inner_bias"]
+    np.tanh(hidden, out=hidden)
+    scores = hidden @ weights["outer"]
+    scores += weights["outer_bias"]
+    # Hidden values lie between -1 and 1, which bounds the scores.
+    if (np.abs(weights["outer"]).sum(axis=0) + np.abs(weights["outer_bias"])).max() > SAFE:
+        scores -= scores.max(axis=1, keepdims=True)
     return inputs, hidden, scores
 
 
+def row_sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[1], dtype=values.dtype)
+
+
 def forward(weights: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, hidden values and logarithms of the classes' probabilities."""
     inputs, hidden, scores = activations(weights, around)
@@ -110,9 +156,8 @@ def train(weights: dict[str, np.ndarray], squares: dict[str, np.ndarray], around
         near, wanted = around[i : i + BATCH], classes[i : i + BATCH]
         inputs, hidden, scores = activations(weights, near)
         error = np.exp(scores, out=scores)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(wanted)), wanted] -= 1
-        error /= len(wanted)
+        error *= (1 / (len(wanted) * row_sums(error)))[:, None]
+        error[np.arange(len(wanted)), wanted] -= 1 / len(wanted)
         back = (error @ weights["outer"].T) * (1 - hidden * hidden)
         to_inputs = (back @ weights["inner"].T).reshape(-1, WIDTH)
         flat = near.ravel()
@@ -141,14 +186,13 @@ def unflatten(values: np.ndarray) -> dict[str, np.ndarray]:
 
 def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches of about CHUNK_WORDS words, with their words' digests."""
-    known = Digests()
     for batch in batches:
-        lengths = np.array([len(t.as_py() or "") for t in batch.column(column)], dtype=np.int64) // 6 + 1
+        texts = batch.column(column).cast(pa.large_string())
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) // 6 + 1
         part_of = np.cumsum(lengths) // CHUNK_WORDS
         edges = [0, *(np.flatnonzero(np.diff(part_of)) + 1).tolist(), len(batch)]
         for b, e in zip(edges[:-1], edges[1:]):
-            part = batch.slice(b, e - b)
-            yield part, *text_words(part.column(column).to_pylist(), known)
+            yield batch.slice(b, e - b), *text_words(texts.slice(b, e - b))
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -244,7 +288,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, most_frequent: int =
             for i in range(0, len(places), 4 * BATCH):
                 scores = activations(weights, around[i : i + 4 * BATCH])[2]
                 own = scores[np.arange(len(scores)), wanted[i : i + 4 * BATCH]]
-                chances[i : i + 4 * BATCH] = own - np.log(np.exp(scores, out=scores).sum(axis=1))
+                chances[i : i + 4 * BATCH] = own - np.log(row_sums(np.exp(scores, out=scores)))
             at = np.searchsorted(head, found)
             frequent = (at < len(head)) & (known[at] == found)
             chances += np.where(frequent, logs[at], 0) - masses[wanted]
