@@ -48,6 +48,44 @@ def test_groups_of_near_copies(spark, monkeypatch, block, sample):
     assert 4 < len(set(want.values())) < len(rows)
 
 
+def test_halves_rule_out_no_link(spark):
+    """Digests of one set that coincide in their lower halves count as if they were common."""
+    high = 1 << 40
+    sets = spark.createDataFrame([(1, [1, 1 + high, 2, 3, 4]), (2, [1, 1 + high, 2, 3, 5 - high]), (3, [7, 8, 9])], "node long, shingles array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    for percent, links in ((66, [(1, 2)]), (90, [])):
+        assert [tuple(r) for r in minhash.confirm(pairs, sets, percent).collect()] == links
+        assert {(1, 2)} >= {tuple(r) for r in minhash.by_halves(pairs, sets, percent).collect()} >= set(links)
+
+
+def test_signatures_and_sets_move_once(spark, monkeypatch):
+    """Signatures join rows that are dealt already; of the last candidates only those between components are confirmed on."""
+    seen, confirm, blocks = [], minhash.confirm, minhash.in_blocks
+
+    def counted(pairs, sets, percent):
+        seen.append({tuple(r) for r in pairs.collect()})
+        return confirm(pairs, sets, percent)
+
+    def slim(posted):
+        assert "signature" not in posted.columns
+        return blocks(posted)
+
+    monkeypatch.setattr(minhash, "confirm", counted)
+    monkeypatch.setattr(minhash, "in_blocks", slim)
+    rows = groups(3, 40)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain(rows, 2)
+    _, likely, *rest = seen
+    assert likely and len(likely) <= len(rows) and not any(likely & r for r in rest)
+
+
+def test_pairs_that_are_not_the_likeliest(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "likeliest", lambda pairs: pairs.select("a", "b").filter("false"))
+    rows = groups(5, 40)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == plain(rows, 2)
+
+
 def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "scratch_path", lambda _, name: f"{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}-{random.random()}")
     minhash.near_duplicates(spark.createDataFrame(groups(1, 10), "doc_id long, text string")).count()

@@ -4,7 +4,8 @@ Documents with equal shingle sets become one node. Every node is posted under ea
 signature. Postings are ordered by how many nodes they hold: nodes that agree in at least ``matches`` coordinates
 share one of each other's rarest ``coordinates - matches + 1`` postings, so only this prefix is joined, and a pair
 that shares several is taken at the first and skipped at the others. Pairs with enough collisions are confirmed on
-their full shingle sets.
+their full shingle sets: of the last candidates first the likeliest of each node, and then only those whose nodes are
+still in different components.
 
 A posting of many nodes is not joined with itself. All its nodes are first compared with one of them, the one whose
 postings hold most nodes: in a group of copies that is the text they were made from. Only nodes that are in different
@@ -144,6 +145,34 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
+def by_halves(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that 31 bits of the digests do not rule out: half of what :func:`confirm` moves.
+
+    Two digests of a set can coincide in them, so as many more may be common as there are fewer of them.
+    """
+    cut = F.array_distinct(F.transform("shingles", lambda d: d.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int")))
+    short = sets.select("node", F.size("shingles").alias("size"), cut.alias("halves"))
+    left, right = (short.select(*[F.col(c).alias(n) for c, n in zip(short.columns, names)]) for names in (("a", "size_a", "set_a"), ("b", "size_b", "set_b")))
+    missing = F.least(F.col("size_a") - F.size("set_a"), F.col("size_b") - F.size("set_b"))
+    common = F.size(F.array_intersect("set_a", "set_b")) + missing
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.filter(100 * common >= percent * (F.col("size_a") + F.col("size_b") - common)).select("a", "b")
+
+
+def likeliest(pairs: DataFrame) -> DataFrame:
+    """The pair of each node that seems most alike."""
+    ends = pairs.select(F.col("a").alias("node"), "*").union(pairs.select(F.col("b").alias("node"), "*"))
+    best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("alike", "a", "b")).alias("best"))
+    return best.select("best.*").distinct()
+
+
+def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are in different components; a node without label is its own."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    named = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
 def prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """(node, weight, shared, prefix) of nodes that have a posting of another node in their prefix.
 
@@ -270,8 +299,8 @@ def with_candidates(dealt: DataFrame, matches: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(work, "posting long, first int, second int, node long")
 
 
-def alike(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows of two matrices of sorted samples can belong to sets as similar as that.
+def alike(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of two matrices of sorted samples can belong to sets as similar as that, and how similar they seem.
 
     The sample of the union is its least digests; a set of at most ``SAMPLE`` is its own sample.
     """
@@ -288,11 +317,11 @@ def alike(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray
     cut = (sizes_a > SAMPLE) | (sizes_b > SAMPLE)
     # Halves of digests can coincide: one more may be common than is seen here.
     error = np.where(cut, DEVIATIONS * np.sqrt(share * (1 - share) * union), 0) + 1
-    return common >= share * union - error
+    return common >= share * union - error, common / np.maximum(union, 1)
 
 
 def sampled_pairs(dealt: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Candidates (a, b), once each, that the samples of their sets do not rule out."""
+    """Candidates (a, b, alike), once each, that the samples of their sets do not rule out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, start in whole_groups(batches):
@@ -319,11 +348,12 @@ def sampled_pairs(dealt: DataFrame, matches: int, percent: int) -> DataFrame:
                     whole = (size[left] <= SAMPLE) & (size[right] <= SAMPLE)
                     near = ~whole | (same >= share * n - DEVIATIONS * np.sqrt(share * (1 - share) * n) - 1)
                     left, right = left[near], right[near]
-                    near = alike(sample[left], sample[right], size[left], size[right], percent)
+                    near, likeness = alike(sample[left], sample[right], size[left], size[right], percent)
                     x, y = node[left[near]], node[right[near]]
-                    yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                    columns = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(likeness[near], pa.float32())]
+                    yield pa.record_batch(columns, names=["a", "b", "alike"])
 
-    return dealt.mapInArrow(work, "a long, b long")
+    return dealt.mapInArrow(work, "a long, b long, alike float")
 
 
 def packed(postings: Column, prefix: Column) -> list[Column]:
@@ -339,7 +369,8 @@ def apart_pairs(posted: DataFrame, nodes: DataFrame, shared: DataFrame, docs: Da
     signed = marked.select("node", *packed(F.col("postings"), F.col("prefix")))
     keys = ["posting", "first", "second"]
     together = lambda df: df.repartition(*keys).sortWithinPartitions(*keys)
-    dealt = in_blocks(posted.select("posting", "node", "size", "component").join(signed, "node"))
+    # Rows are dealt to blocks first, so that signatures move once.
+    dealt = in_blocks(posted.select("posting", "node", "size", "component")).join(signed, "node")
     few = stored(with_candidates(together(dealt), matches, percent), "minhash-few")
     ends = few.select("node").distinct()
     sets = full_sets(docs, nodes.join(ends, "node").select("doc_id"), width, SAMPLE)
@@ -373,16 +404,19 @@ def near_duplicates(
     sized = nodes.select("node", "size", F.col("node").alias("component"))
     posted = stored(postings.join(several.select("posting"), "posting").join(sized, "node"), "minhash-postings")
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def sets_of(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = stored(full_sets(docs, nodes.join(ends, "node").select("doc_id"), width), "minhash-sets")
-        found = stored(confirm(pairs, sets, percent), "minhash-links")
-        discard(pairs, sets)
-        return found
+        return stored(full_sets(docs, nodes.join(ends, "node").select("doc_id"), width), "minhash-sets")
+
+    def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return stored(confirm(pairs, sets, percent), "minhash-links")
 
     heaviest = F.max_by(F.struct("node", "size", "component"), F.struct("weight", "node")).alias("chosen")
     chosen = posted.groupBy("posting").agg(heaviest).select("posting", "chosen.*")
-    links = linked(stored(colliding(posted, chosen, shared, matches, percent), "minhash-pairs"))
+    pairs = stored(colliding(posted, chosen, shared, matches, percent), "minhash-pairs")
+    sets = sets_of(pairs)
+    links = linked(pairs, sets)
+    discard(pairs, sets)
     labels = connected_components(links)
     # Only postings with nodes of several components are left to compare.
     renewed = posted.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -390,8 +424,17 @@ def near_duplicates(
     left = stored(renewed.join(apart.select("posting"), "posting"), "minhash-postings")
     discard(posted)
     if not left.isEmpty():
-        links = links.unionByName(linked(apart_pairs(left, nodes, shared, docs, width, matches, percent)))
+        pairs = apart_pairs(left, nodes, shared, docs, width, matches, percent)
+        sets = sets_of(pairs)
+        # Each pair carries a full set through a shuffle. One pair of each node joins most of what belongs together.
+        links = links.unionByName(linked(likeliest(pairs), sets))
         labels = connected_components(links)
+        rest = stored(between(pairs, labels), "minhash-rest")
+        discard(pairs)
+        if not rest.isEmpty():
+            links = links.unionByName(linked(by_halves(rest, sets, percent), sets))
+            labels = connected_components(links)
+        discard(rest, sets)
     discard(left, shared, nodes)
 
     labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
