@@ -1,219 +1,243 @@
 """Adaptive context-mixing range coder for token ids below 65,536.
 
 Ids are cut into blocks that are coded independently: every block starts with a fresh model and carries a checksum.
-The model predicts an id from the last two ids (order 2) or the last one (order 1): the id that followed them last
-time. Order 0 counts the block's ids so far. One binary decision says whether the prediction holds; its probability
-mixes, in the logistic domain and with weights that adapt, what each order knows. A missed id is coded by the order-0
-frequencies of its two bytes. All arithmetic is on integers, so every machine decodes the same.
-
-Blocks are coded side by side: each step of a loop takes one id of every block of a segment.
+The first blob of a segment is a table of how often its ids occur, which all its blocks share (order 0). The model
+predicts an id from the last two ids (order 2) or the last one (order 1): the id that followed them last time. One
+binary decision says whether the prediction holds; its probability mixes, in the logistic domain and with weights that
+adapt, what each order knows. A missed id is coded by its frequency in the table. All numbers are integers, those of
+the coder below 2**49 and so exact in doubles, and every machine decodes the same.
+
+Blocks are coded side by side: each step takes one id of every block of a segment. The model learns after a round of
+steps, so that within a round it only looks up.
 """
 
 from __future__ import annotations
 
-from zlib import crc32
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK_IDS = 8192
+BLOCK_IDS = 4096
 TABLE_BITS = 12
-# Probabilities have 12 bits; the range is held between 2**32 and 2**48 and leaves 16 bits at a time.
+# Probabilities of hits have 12 bits, frequencies 16; the range is held between 2**32 and 2**48 and leaves 16 bits at a time.
 BITS = 12
 ONE = 1 << BITS
-TOP, LOW = np.uint64(1 << 48), np.uint64(1 << 32)
-MASK48, MASK32 = np.uint64((1 << 48) - 1), np.uint64((1 << 32) - 1)
-SHORT, TWELVE = np.uint64(16), np.uint64(BITS)
-#: Steps after which the order-0 frequencies are renewed: often at first, then less.
-RENEW = {16, 48, 112, 240} | set(range(496, 1 << 20, 512))
+ALL = 1 << 16
+TOP, LOW, WORD = 2.0**48, 2.0**32, 2.0**16
+# Steps of a round: few at first. The first rounds are weighed, and then one of WEIGH.
+ROUNDS, ROUND, WEIGH = (8, 16), 32, 8
+# Of an entry's bits, the lowest four count how often its id came again.
+SURE = 15
 
 _LOGIT = np.log((np.arange(ONE) + 0.5) / (ONE - 0.5 - np.arange(ONE)))
-STRETCH = np.rint(_LOGIT * 256).astype(np.int32)
-SQUASH = np.clip(np.rint(ONE / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, ONE - 1).astype(np.int32)
+STRETCH = np.rint(_LOGIT * 256).astype(np.int64)
+SQUASH = np.clip(np.rint(ONE / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, ONE - 1)
+# Where a block's tables hold what followed an id, and how the id before that one moves the place.
+PLACE = np.arange(ALL) * 40503 >> 4 & (1 << TABLE_BITS) - 1
+SECOND = np.arange(ALL) * 60493 >> 5 & (1 << TABLE_BITS) - 1
 
 
-class ByteCounts:
-    """Order-0 frequencies of one byte in each block, out of ONE, renewed now and then."""
+def rounds(width: int) -> Iterator[tuple[int, int, bool]]:
+    """Where each round begins and ends, and whether its predictions are weighed."""
+    start, k = 0, 0
+    while start < width:
+        end = min(start + (ROUNDS[k] if k < len(ROUNDS) else ROUND), width)
+        yield start, end, k < WEIGH or k % WEIGH == 0
+        start, k = end, k + 1
 
-    def __init__(self, n: int):
-        self.rows = np.arange(n)
-        self.counts = np.ones((n, 256), dtype=np.int32)
-        self.seen = self.counts.copy()
-        self.renew()
 
-    def renew(self) -> None:
-        total = self.counts.sum(axis=1, keepdims=True)
-        freq = 1 + self.counts * (ONE - 256) // total
-        freq[self.rows, freq.argmax(axis=1)] += ONE - freq.sum(axis=1)
-        self.freq = freq
-        self.start = np.cumsum(freq, axis=1) - freq
-        self.symbols = None
+class Frequencies:
+    """How often each id occurs in a segment, out of ALL; at least once if it occurs at all."""
+
+    def __init__(self, known: np.ndarray, freq: np.ndarray):
+        self.known, self.given = known, freq
+        self.freq = np.zeros(ALL)
+        self.freq[known] = freq
+        self.start = np.cumsum(self.freq) - self.freq
+        self.inputs = STRETCH[np.clip(self.freq.astype(np.int64) >> 4, 1, ONE - 1)]
+        self.common = int(known[freq.argmax()])
 
-    def symbol_of(self, slot: np.ndarray) -> np.ndarray:
-        if self.symbols is None:
-            values = np.broadcast_to(np.arange(256, dtype=np.uint8), self.freq.shape).ravel()
-            self.symbols = np.repeat(values, self.freq.ravel()).reshape(len(self.rows), ONE)
-        return self.symbols[self.rows, slot]
+    @classmethod
+    def of_ids(cls, ids: np.ndarray) -> Frequencies:
+        counts = np.bincount(ids)
+        known = np.flatnonzero(counts)
+        freq = 1 + counts[known] * (ALL - len(known)) // len(ids)
+        freq[freq.argmax()] += ALL - freq.sum()
+        return cls(known, freq)
 
-    def add(self, symbol: np.ndarray, missed: np.ndarray) -> None:
-        self.counts[self.rows, symbol] += 8 + 24 * missed
+    @classmethod
+    def from_blob(cls, blob: bytes) -> Frequencies:
+        known, freq = np.frombuffer(zlib.decompress(blob), dtype="<u2").reshape(2, -1).astype(np.int64)
+        return cls(known, freq + 1)
+
+    def blob(self) -> bytes:
+        return zlib.compress(np.stack([self.known, self.given - 1]).astype("<u2").tobytes())
+
+    def ids_by_slot(self) -> np.ndarray:
+        return np.repeat(self.known, self.given)
 
 
 class Model:
-    """The state of all blocks of a segment, which moves on by one id each."""
-
-    def __init__(self, n: int):
-        self.rows = np.arange(n)
-        size = 1 << TABLE_BITS
-        self.base = self.rows * size
-        self.last1, self.sure1 = np.zeros(n * size, np.uint16), np.zeros(n * size, np.uint8)
-        self.last2, self.sure2 = np.zeros(n * size, np.uint16), np.zeros(n * size, np.uint8)
-        self.hits = np.full((n, 64), ONE << 3, dtype=np.int32)
-        self.weights = np.full((n, 3), 1 << 15, dtype=np.int32)
-        self.high, self.low = ByteCounts(n), ByteCounts(n)
-        self.before, self.last = np.zeros(n, np.int64), np.zeros(n, np.int64)
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """The predicted id of each block, and the probability, of ONE, that it comes."""
-        mask = (1 << TABLE_BITS) - 1
-        self.at1 = self.base + (self.last * 40503 >> 4 & mask)
-        self.at2 = self.base + ((self.last * 40503 + self.before * 60493) >> 5 & mask)
-        sure1, sure2 = self.sure1[self.at1], self.sure2[self.at2]
-        one, two = self.last1[self.at1], self.last2[self.at2]
-        self.guess1, self.guess2 = one, two
-        guess = np.where(sure2 > 0, two, one).astype(np.int64)
-        self.context = (np.minimum(sure2, 3) * 16 + np.minimum(sure1, 3) * 4 + (one == two) * 2).astype(np.int64)
-        inputs = np.empty((len(self.rows), 3), dtype=np.int32)
-        inputs[:, 0] = STRETCH[self.hits[self.rows, self.context] >> 4]
-        inputs[:, 1] = STRETCH[self.hits[self.rows, 32 + np.minimum(sure1, 15).astype(np.int64)] >> 4] // 2
-        inputs[:, 2] = STRETCH[np.minimum(self.high.freq[self.rows, guess >> 8], ONE - 1)] // 4
-        self.inputs = inputs
-        mixed = (inputs * self.weights).sum(axis=1) >> 16
-        self.chance = SQUASH[np.clip(mixed + 2048, 0, 4095)]
-        self.guess = guess
-        return guess, self.chance
-
-    def update(self, ids: np.ndarray, hit: np.ndarray) -> None:
-        error = (hit << BITS) - self.chance
-        self.weights += self.inputs * error[:, None] >> 11
-        np.clip(self.weights, -(1 << 19), 1 << 19, out=self.weights)
-        target = hit << 16
-        for place in (self.context, 32 + np.minimum(self.sure1[self.at1], 15).astype(np.int64)):
-            now = self.hits[self.rows, place]
-            self.hits[self.rows, place] = np.clip(now + ((target - now) >> 5), 16, (ONE << 4) - 17)
-        for last, sure, at, guess in ((self.last1, self.sure1, self.at1, self.guess1), (self.last2, self.sure2, self.at2, self.guess2)):
-            right = guess == ids
-            sure[at] = np.where(right, np.minimum(sure[at] + 1, 60), 1)
-            last[at] = ids
-        missed = 1 - hit
-        self.high.add(ids >> 8, missed)
-        self.low.add(ids & 255, missed)
-        self.before, self.last = self.last, ids
+    """The state of all blocks of a segment."""
+
+    def __init__(self, n: int, order0: Frequencies):
+        self.base, self.row = np.arange(n) << TABLE_BITS, np.arange(n) * (SURE + 1)
+        self.last1, self.last2 = np.zeros(n << TABLE_BITS, np.uint32), np.zeros(n << TABLE_BITS, np.uint32)
+        self.order0 = order0.inputs
+        self.seen = np.tile([1, 4], (2, n * (SURE + 1), 1))  # hits and misses by order and sureness
+        self.weights = np.full((3, n), 1 << 15)
+        self.renew()
 
     def renew(self) -> None:
-        self.high.renew()
-        self.low.renew()
+        """What each order says, and that by its weight, for the next round."""
+        self.inputs = STRETCH.take(self.seen[:, :, 0] * ONE // self.seen.sum(axis=2))
+        heavy = self.inputs.reshape(2, -1, SURE + 1) * self.weights[:2, :, None]
+        self.heavy1, self.heavy2 = (heavy.reshape(2, -1) + ((ONE // 4) << 16))
+
+    def predict(self, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The predicted ids, the probabilities, of ONE, that they come, and what :meth:`learn` needs."""
+        at1 = PLACE.take(last) + self.base
+        at2 = at1 ^ SECOND.take(before)
+        one, two = self.last1.take(at1), self.last2.take(at2)
+        guess = np.where(two, two, one) >> 4
+        total = self.heavy1.take((one & SURE) + self.row)
+        total += self.heavy2.take((two & SURE) + self.row)
+        total += self.order0.take(guess) * self.weights[2]
+        return guess, SQUASH.take(total >> 16, mode="clip"), at1, at2, one, two
+
+    def learn(self, ids: np.ndarray, found: tuple[np.ndarray, ...], weigh: bool) -> None:
+        """Takes in a round: its ids, a row for each step, and its predictions; ``weigh``: how good they were as well."""
+        guess, chance, at1, at2, one, two = found
+        ids = ids.astype(np.uint32)
+        new = ids << 4 | 1
+        if weigh:
+            error = ((guess == ids) * float(ONE)) - chance
+            self.weights[2] += (self.order0.take(guess) * error).sum(axis=0).astype(np.int64) >> 13
+        for k, table, at, entry in ((0, self.last1, at1, one), (1, self.last2, at2, two)):
+            sure, right = entry & SURE, entry >> 4 == ids
+            if weigh:
+                place = sure + self.row
+                self.weights[k] += (self.inputs[k].take(place) * error).sum(axis=0).astype(np.int64) >> 13
+                self.seen[k] += np.bincount((place << 1 | ~right).ravel(), minlength=self.seen[k].size).reshape(-1, 2)
+            # Of equal places the last one stays.
+            table[at.ravel()] = np.where(right & (sure > 0), entry + (sure < SURE), new).ravel()
+        if weigh:
+            np.clip(self.weights, -(1 << 19), 1 << 19, out=self.weights)
+            self.renew()
 
 
 def encode_segment(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[list[bytes], list[int]]:
-    """The coded blocks of ``ids`` and the checksum of each block's ids."""
+    """The table of ``ids`` and their coded blocks, and the checksums of the table and of each block's ids."""
     n = -(-len(ids) // block)
     if not n:
         return [], []
     width = min(block, len(ids))
-    padded = np.zeros(n * width, dtype=np.int64)
-    padded[: len(ids)] = ids
-    columns = padded.reshape(n, width).T.copy()
-    model = Model(n)
-    rows, at = np.arange(n), np.ones(n, dtype=np.int64)
-    out = np.zeros((n, 3 * width + 8), dtype=np.int32)
-    low, span = np.zeros(n, np.uint64), np.full(n, TOP, np.uint64)
-
-    def put(start: np.ndarray, freq: np.ndarray) -> None:
-        nonlocal low, span
-        part = span >> TWELVE
-        low = low + part * start.astype(np.uint64)
-        span = part * freq.astype(np.uint64)
-        over = np.flatnonzero(low >= TOP)
-        if len(over):
-            out[over, at[over] - 1] += 1
-            low[over] &= MASK48
-        small = np.flatnonzero(span < LOW)
-        if len(small):
-            out[small, at[small]] = (low[small] >> np.uint64(32)).astype(np.int32)
-            low[small] = (low[small] & MASK32) << SHORT
-            span[small] <<= SHORT
-            at[small] += 1
-
-    for step in range(width):
-        ids_now = columns[step]
-        guess, chance = model.predict()
-        hit = (guess == ids_now).astype(np.int32)
-        put(np.where(hit, 0, chance), np.where(hit, chance, ONE - chance))
-        high, lower = ids_now >> 8, ids_now & 255
-        put(np.where(hit, 0, model.high.start[rows, high]), np.where(hit, ONE, model.high.freq[rows, high]))
-        put(np.where(hit, 0, model.low.start[rows, lower]), np.where(hit, ONE, model.low.freq[rows, lower]))
-        model.update(ids_now, hit)
-        if step in RENEW:
-            model.renew()
+    order0 = Frequencies.of_ids(ids)
+    columns = np.full(n * width, order0.common, dtype=np.uint16)
+    columns[: len(ids)] = ids
+    columns = columns.reshape(n, width).T.copy()
+    model = Model(n, order0)
+    most = 2 * width + 8  # a step leaves two words at most
+    out, first = np.zeros(n * most, dtype=np.uint16), np.arange(n) * most + 1
+    at = first.copy()
+    low, span = np.zeros(n), np.full(n, TOP)
+    before = last = np.zeros(n, dtype=np.int64)
+
+    for begin, end, weigh in rounds(width):
+        now = columns[begin:end].astype(np.int64)
+        history = np.concatenate([[before, last], now])
+        found = model.predict(history[:-2], history[1:-1])
+        missed = found[0] != now
+        starts, freqs, chances, moved = order0.start.take(now), order0.freq.take(now), found[1], missed.astype(float)
+        for step in range(end - begin):
+            bound = np.floor(span * (1 / ONE)) * chances[step]
+            part = np.floor((span - bound) * (1 / ALL))
+            low += (bound + part * starts[step]) * moved[step]
+            span = np.where(missed[step], part * freqs[step], bound)
+            over = (low >= TOP).nonzero()[0]
+            if len(over):
+                low[over] -= TOP
+                over = at[over]
+                while len(over):  # a carry goes on through words of all ones
+                    over = over - 1
+                    out[over] += 1
+                    over = over[out[over] == 0]
+            small = (span < LOW).nonzero()[0]
+            while len(small):
+                rest = low.take(small)
+                word = np.floor(rest * (1 / LOW))
+                out[at.take(small)] = word
+                low[small] = (rest - word * LOW) * WORD
+                rest = span.take(small) * WORD
+                span[small] = rest
+                at[small] += 1
+                small = small[rest < LOW]
+        model.learn(now, found, weigh)
+        before, last = history[-2], history[-1]
     for _ in range(3):
-        out[rows, at] = (low >> np.uint64(32)).astype(np.int32)
-        low = (low & MASK32) << SHORT
+        word = np.floor(low * (1 / LOW))
+        out[at] = word
+        low = (low - word * LOW) * WORD
         at += 1
-    for column in range(int(at.max()) - 1, 0, -1):  # carries that reached a word of all ones
-        carry = out[:, column] >> 16
-        out[:, column] &= 0xFFFF
-        out[:, column - 1] += carry
-    words = out.astype("<u2")
-    raw = ids.astype("<u2").tobytes()
-    sums = [crc32(raw[2 * i : 2 * (i + width)]) for i in range(0, len(ids), width)]
-    return [words[i, 1 : at[i]].tobytes() for i in range(n)], sums
+    raw, words, table = ids.astype("<u2").tobytes(), out.astype("<u2", copy=False), order0.blob()
+    sums = [zlib.crc32(raw[2 * i : 2 * (i + width)]) for i in range(0, len(ids), width)]
+    return [table, *(words[b:e].tobytes() for b, e in zip(first, at))], [zlib.crc32(table), *sums]
 
 
 def decode_segment(blocks: list[bytes], sums: list[int], total: int, block: int = BLOCK_IDS) -> np.ndarray:
-    """The ids of a segment; raises ``ValueError`` if a block's ids do not have its checksum."""
-    n, width = len(blocks), min(block, total)
-    if not n:
+    """The ids of a segment; raises ``ValueError`` if its table or a block's ids do not have their checksum."""
+    if not blocks:
         return np.zeros(0, dtype="<u2")
-    longest = max(map(len, blocks)) // 2
-    words = np.zeros((n, longest + 8), dtype=np.uint64)
-    for i, raw in enumerate(blocks):
-        words[i, : len(raw) // 2] = np.frombuffer(raw, dtype="<u2")
-    model = Model(n)
-    rows, at = np.arange(n), np.full(n, 3, dtype=np.int64)
-    code = words[:, 0] << np.uint64(32) | words[:, 1] << SHORT | words[:, 2]
-    span = np.full(n, TOP, np.uint64)
-    columns = np.empty((width, n), dtype=np.int64)
-
-    def take(part: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
-        nonlocal code, span
-        code = code - part * start.astype(np.uint64)
-        span = part * freq.astype(np.uint64)
-        small = np.flatnonzero(span < LOW)
-        if len(small):
-            code[small] = code[small] << SHORT | words[small, np.minimum(at[small], longest + 7)]
-            span[small] <<= SHORT
-            at[small] += 1
-
-    for step in range(width):
-        guess, chance = model.predict()
-        part = span >> TWELVE
-        hit = (code < part * chance.astype(np.uint64)).astype(np.int32)
-        take(part, np.where(hit, 0, chance), np.where(hit, chance, ONE - chance))
-        symbols = []
-        for counts in (model.high, model.low):
-            part = span >> TWELVE
-            slot = np.minimum(code // part, np.uint64(ONE - 1)).astype(np.int64)
-            symbol = counts.symbol_of(slot).astype(np.int64)
-            take(part, np.where(hit, 0, counts.start[rows, symbol]), np.where(hit, ONE, counts.freq[rows, symbol]))
-            symbols.append(symbol)
-        ids = np.where(hit, guess, symbols[0] << 8 | symbols[1])
-        columns[step] = ids
-        model.update(ids, hit)
-        if step in RENEW:
-            model.renew()
+    table, *blocks = blocks
+    if zlib.crc32(table) != sums[0]:
+        raise ValueError("the table of frequencies is damaged")
+    order0 = Frequencies.from_blob(table)
+    by_slot, n, width = order0.ids_by_slot(), len(blocks), min(block, total)
+    lengths = np.fromiter(map(len, blocks), dtype=np.int64, count=n) // 2
+    words = np.concatenate([np.frombuffer(b"".join(blocks), dtype="<u2"), np.zeros(4, dtype="<u2")]).astype(np.float64)
+    at = np.cumsum(lengths) - lengths
+    code = words.take(at, mode="clip") * LOW + words.take(at + 1, mode="clip") * WORD + words.take(at + 2, mode="clip")
+    at += 3
+    model, span = Model(n, order0), np.full(n, TOP)
+    columns = np.empty((width, n), dtype=np.uint16)
+    before = last = np.zeros(n, dtype=np.int64)
+
+    for begin, end, weigh in rounds(width):
+        kept, now = [], np.empty((end - begin, n), dtype=np.int64)
+        for step in range(end - begin):
+            found = model.predict(before, last)
+            kept.append(found)
+            bound = np.floor(span * (1 / ONE)) * found[1]
+            ids = now[step]
+            ids[:] = found[0]
+            missed = (code >= bound).nonzero()[0]
+            if len(missed):
+                edge = bound.take(missed)
+                rest = code.take(missed) - edge
+                part = np.floor((span.take(missed) - edge) * (1 / ALL))
+                symbol = by_slot.take((rest / part).astype(np.int64), mode="clip")  # exact: both are below 2**49
+                ids[missed] = symbol
+                code[missed] = rest - part * order0.start.take(symbol)
+                bound[missed] = part * order0.freq.take(symbol)
+            span = bound
+            small = (span < LOW).nonzero()[0]
+            while len(small):
+                place = at.take(small)
+                code[small] = code.take(small) * WORD + words.take(place, mode="clip")
+                rest = span.take(small) * WORD
+                span[small] = rest
+                at[small] = place + 1
+                small = small[rest < LOW]
+            before, last = last, ids
+        wrong = (code >= span).nonzero()[0]
+        if len(wrong):
+            raise ValueError(f"block {wrong[0]} is damaged")
+        model.learn(now, tuple(map(np.stack, zip(*kept))), weigh)
+        columns[begin:end] = now
     found = columns.T.reshape(-1)[:total].astype("<u2")
     raw = found.tobytes()
-    for i, expected in enumerate(sums):
-        if crc32(raw[2 * i * width : 2 * (i + 1) * width]) != expected:
+    for i, expected in enumerate(sums[1:]):
+        if zlib.crc32(raw[2 * i * width : 2 * (i + 1) * width]) != expected:
             raise ValueError(f"block {i} is damaged")
     return found

@@ -25,7 +25,7 @@ from turnstile.llm.tokens import byte_bpe
 from turnstile.session import scratch_path
 
 END_ID = 2
-SEGMENT_IDS = 512 * BLOCK_IDS
+SEGMENT_IDS = 2048 * BLOCK_IDS
 
 FILE_SCHEMA = (
     "part int, segment int, start long, n_ids long, doc_ids array<long>, lengths array<long>, "
@@ -54,13 +54,14 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
         for batch in batches:
             at, known = 0, batch.column(0).to_pylist()
             for ids, bounds in encoder.encode(batch.column(1)):
-                for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                    if size and size + e - b + 1 > segment_ids:
+                ids, bounds = np.insert(ids, bounds[1:], END_ID), (bounds + np.arange(len(bounds))).tolist()
+                for b, e in zip(bounds[:-1], bounds[1:]):
+                    if size and size + e - b > segment_ids:
                         yield from flush()
-                    held += [ids[b:e], np.array([END_ID], "<u2")]
+                    held.append(ids[b:e])
                     doc_ids.append(known[at])
-                    lengths.append(e - b + 1)
-                    at, size = at + 1, size + e - b + 1
+                    lengths.append(e - b)
+                    at, size = at + 1, size + e - b
         yield from flush()
 
     ordered = (
@@ -81,7 +82,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
                 ids = decode_segment(row["blocks"], row["checksums"], row["n_ids"]).astype("<u4")
                 ends = np.cumsum(row["lengths"])
                 starts = ends - row["lengths"]

@@ -4,13 +4,19 @@ Both vocabularies used here break a text at white space before anything else, so
 words in order. A bounded table of words already seen saves encoding them again; texts whose white space is of
 another kind than single blanks and line ends, and texts that hold the name of a special token, are encoded in one
 call. The result always equals that call of the library, with the tokenizer as its file describes it.
+
+Where a vocabulary's words carry the blank before them, a line end is the start of a word of its own kind: it takes no
+blank, so that the last word of a line and the first of the next are looked up apart.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,16 +26,20 @@ import pyarrow.compute as pc
 OTHER_BLANKS = (
     r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 )
-ONLY_SINGLE = r"^ |  | $"
-MAX_WORDS = 600_000
+ONLY_SINGLE = r"^ |  | $| \n"
+# Line ends that the library may take together with the white space around them.
+NOT_ALONE = r"[\t\v\f\r]\n|\n[\t\v\f\r]|\n\n[\n ]|\n\n$"
+# Words remembered, and the longest of them in bytes.
+MAX_WORDS, MAX_LENGTH = 1_000_000, 64
 # Latin words with at most one of these marks behind them need no search for word parts.
 MARKS = frozenset(".,;:!?")
+ASCII_MARKS = string.punctuation
 LAST_LATIN = "\u024f"
 # The byte-level alphabet: bytes that are no visible Latin-1 characters stand as the characters from 256 on.
 HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(HIDDEN)}
 CALL_WORDS = 2_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 
 
 class TextEncoder:
@@ -40,6 +50,7 @@ class TextEncoder:
     """
 
     def __init__(self, path: str, leading: bool, mark: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -47,50 +58,99 @@ class TextEncoder:
         self.named = "|".join(names)  # the library reads these names in a text as the token
         self.leading, self.mark = leading, mark
         (self.mark_id,) = self.whole(mark)
-        self.seen: dict[str, bytes] = {"": b""}
+        # Words already seen, and their ids.
+        self.words, self.ids = pa.array([""], pa.string()), pa.array([b""], pa.binary())
         self.marks = {mark: self.whole(mark).tobytes() for mark in MARKS}
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype="<u2")
 
     def latin_word(self, word: str) -> bytes | None:
         """Ids of a word that is one run of Latin letters, with a mark or none; else None."""
         core, tail = (word, "") if word.isalpha() else (word[:-1], word[-1])
         if tail and tail not in MARKS or not core.isalpha() or max(core) > LAST_LATIN or "\u0130" in core:
             return None
-        core = " " + core if self.leading else core.lower()
-        if self.leading or not core.isascii():
+        core = core.lower()
+        if not core.isascii():
             core = core.encode().decode("latin-1").translate(BYTE_CHARS)
         ids = array("H", [token.id for token in self.tokenizer.model.tokenize(core)]).tobytes()
         return ids + self.marks[tail] if tail else ids
 
-    def new_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+    def new_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word; those that could hold the mark are encoded alone."""
-        lead = " " if self.leading else ""
-        latin = {w: ids for w in words if (ids := self.latin_word(w)) is not None}
-        yield from latin.items()
-        words = [w for w in words if w not in latin]
-        part = self.mark if self.leading else f" {self.mark} "
+        found = {w: ids for w in words if (ids := self.latin_word(w)) is not None}
+        words = [w for w in words if w not in found]
         plain = [w for w in words if self.mark not in w]
-        yield from ((w, self.whole(lead + w).tobytes()) for w in words if self.mark in w)
-        for i in range(0, len(plain), CALL_WORDS):
-            some = plain[i : i + CALL_WORDS]
-            ids = self.whole(part.join(lead + w for w in some))
+        found.update((w, self.whole(w).tobytes()) for w in words if self.mark in w)
+        found.update(zip(plain, self.in_calls(plain, f" {self.mark} ")))
+        return found
+
+    def led_words(self, words: list[str], cores: list[str], core_ids: list[bytes | None]) -> dict[str, bytes]:
+        """Ids of words with a blank before them, or with the line end that they begin with, and of new cores of them.
+
+        A core is a word without the ASCII marks at its end, which are a part of their own behind a Latin letter or digit.
+        """
+        split = [c != w and c[-1:].isalnum() and c[-1] <= LAST_LATIN for w, c in zip(words, cores)]
+        new = {c if apart else w for w, c, apart, ids in zip(words, cores, split, core_ids) if not apart or ids is None}
+        found, plain, lines, line_end = {}, [], [], self.mark_id.tobytes()
+        tokenize = self.tokenizer.model.tokenize
+        for w in new:
+            at_line = w[0] == "\n"
+            rest = w[1:] if at_line else w
+            if rest.isalpha() and max(rest) <= LAST_LATIN:
+                core = rest if at_line else " " + rest
+                ids = array("H", [token.id for token in tokenize(core.encode().decode("latin-1").translate(BYTE_CHARS))]).tobytes()
+                found[w] = line_end + ids if at_line else ids
+            elif rest.split() != [rest]:  # white space within
+                found[w] = self.whole(w if at_line else " " + w).tobytes()
+            elif at_line:
+                lines.append(w)
+            else:
+                plain.append(w)
+        found.update(zip(plain, self.in_calls([" " + w for w in plain], self.mark)))
+        found.update((w, line_end + ids) for w, ids in zip(lines, self.in_calls([w[1:] for w in lines], self.mark)))
+        tails: dict[str, bytes] = {}
+        for w, c, apart, ids in zip(words, cores, split, core_ids):
+            if apart:
+                tail = w[len(c) :]
+                if tail not in tails:
+                    tails[tail] = self.whole(tail).tobytes()
+                found[w] = (found[c] if ids is None else ids) + tails[tail]
+        return found
+
+    def in_calls(self, words: list[str], part: str) -> Iterator[bytes]:
+        """Ids of each word, of many in one call, where the mark parts them."""
+        for i in range(0, len(words), CALL_WORDS):
+            some = words[i : i + CALL_WORDS]
+            ids = self.whole(part.join(some))
             ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
             raw, at = ids.tobytes(), 0
-            for word, end in zip(some, ends, strict=True):
-                yield word, raw[2 * at : 2 * end]
+            for _, end in zip(some, ends, strict=True):
+                yield raw[2 * at : 2 * end]
                 at = end + 1
 
-    def of_words(self, words: list[str]) -> list[bytes]:
-        known = list(map(self.seen.get, words))
-        missing = [w for w, ids in zip(words, known) if ids is None]
-        if not missing:
-            return known
-        found = dict(self.new_words(missing))
-        if len(self.seen) < MAX_WORDS:
-            self.seen.update(found)
-        return [found[w] if ids is None else ids for w, ids in zip(words, known)]
+    def of_words(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """An array of ids and the place of each word's in it. The words are distinct."""
+        n, known = len(words), self.ids
+        looked = pa.concat_arrays([words, pc.utf8_rtrim(words, characters=ASCII_MARKS)]) if self.leading else words
+        place = pc.fill_null(pc.index_in(looked, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(place[:n] < 0)
+        if not len(missing):
+            return known, place[:n]
+        new = words.take(pa.array(missing)).to_pylist()
+        if self.leading:
+            at = place[n + missing]
+            ids = known.take(pa.array(at, mask=at < 0)).to_pylist()
+            found = self.led_words(new, looked.take(pa.array(n + missing)).to_pylist(), ids)
+        else:
+            found = self.new_words(new)
+        if len(self.words) < MAX_WORDS:
+            kept = [w for w in found if len(w) <= MAX_LENGTH]
+            self.words = pa.concat_arrays([self.words, pa.array(kept, pa.string())])
+            self.ids = pa.concat_arrays([known, pa.array([found[w] for w in kept], pa.binary())])
+        place[missing] = len(known) + np.arange(len(missing))
+        return pa.concat_arrays([known, pa.array([found[w] for w in new], pa.binary())]), place[:n]
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For slices of ``texts`` in order: all ids, and the bounds of each text's. Null texts have none."""
@@ -111,29 +171,36 @@ class TextEncoder:
             odd = pc.or_(odd, pc.match_substring_regex(texts, self.named))
         odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         plain = pc.if_else(odd, "", texts)
+        if self.leading:
+            apart = pc.replace_substring(plain, "\n", " \n")
+            plain = pc.if_else(pc.match_substring_regex(texts, NOT_ALONE), plain, apart)
         lists = pc.split_pattern(plain, " ") if self.leading else pc.ascii_split_whitespace(plain)
         bounds = lists.offsets.to_numpy().astype(np.int64)
         bounds = bounds - bounds[0]
         coded = lists.flatten().dictionary_encode()
-        at = coded.indices.to_numpy()
-        parts = self.of_words(coded.dictionary.to_pylist())
-        if self.leading and len(parts):  # a text's first word has no blank before it
-            firsts = pc.take(coded, pa.array(bounds[:-1])).to_pylist()
-            own = {w: self.whole(w).tobytes() for w in set(firsts)}
-            place = {w: len(parts) + i for i, w in enumerate(own)}
-            at = at.copy()
-            at[bounds[:-1]] = [place[w] for w in firsts]
-            parts = [*parts, *own.values()]
+        parts, place = self.of_words(coded.dictionary)
+        at = place[coded.indices.to_numpy()]
+        if self.leading:  # a text's first word has no blank before it
+            firsts = pc.take(coded, pa.array(bounds[:-1])).dictionary_decode().dictionary_encode()
+            own = firsts.dictionary.to_pylist()
+            plain = [w for w in own if w.split() == [w]]
+            found = dict(zip(plain, self.in_calls(plain, self.mark)))
+            own = [found[w] if w in found else self.whole(w).tobytes() for w in own]
+            at[bounds[:-1]] = len(parts) + firsts.indices.to_numpy()
+            parts = pa.concat_arrays([parts, pa.array(own, pa.binary())])
         if len(odd_at):  # an odd text stands as one empty word until here
-            at = at.copy()
             at[bounds[odd_at]] = len(parts) + np.arange(len(odd_at))
-            parts = [*parts, *(self.whole(t).tobytes() for t in pc.take(texts, pa.array(odd_at)).to_pylist())]
-        lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 2
-        ids = np.frombuffer(b"".join(map(parts.__getitem__, at.tolist())), dtype="<u2")
-        return ids, np.concatenate([[0], np.cumsum(lengths[at])])[bounds]
+            odd = [self.whole(t).tobytes() for t in pc.take(texts, pa.array(odd_at)).to_pylist()]
+            parts = pa.concat_arrays([parts, pa.array(odd, pa.binary())])
+        coded = pc.take(parts, pa.array(at))
+        _, offsets, raw = coded.buffers()
+        ends = np.frombuffer(offsets, dtype=np.int32, count=len(coded) + 1).astype(np.int64) // 2
+        return np.frombuffer(raw or b"", dtype="<u2", count=ends[-1]), ends[bounds]
 
 
+@lru_cache(maxsize=1)
 def byte_bpe(path: str | None = None) -> TextEncoder:
+    """One for each process, so that its tasks share the words already seen."""
     import public_tokenizers
 
     return TextEncoder(path or public_tokenizers.path("byte_bpe_50k.json"), leading=True, mark="\n")
