@@ -19,21 +19,22 @@ from collections.abc import Iterator
 import numpy as np
 
 BLOCK_IDS = 4096
-TABLE_BITS = 12
+TABLE_BITS = 11
 # Probabilities of hits have 12 bits, frequencies 16; the range is held between 2**32 and 2**48 and leaves 16 bits at a time.
 BITS = 12
 ONE = 1 << BITS
 ALL = 1 << 16
+PART = 1 << 18
 TOP, LOW, WORD = 2.0**48, 2.0**32, 2.0**16
 # Steps of a round: few at first. The first rounds are weighed, and then one of WEIGH.
-ROUNDS, ROUND, WEIGH = (8, 16), 32, 8
+ROUNDS, ROUND, WEIGH = (8,), 16, 16
 # Of an entry's bits, the lowest four count how often its id came again.
 SURE = 15
 
 _LOGIT = np.log((np.arange(ONE) + 0.5) / (ONE - 0.5 - np.arange(ONE)))
 STRETCH = np.rint(_LOGIT * 256).astype(np.int64)
 SQUASH = np.clip(np.rint(ONE / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, ONE - 1)
-# Where a block's tables hold what followed an id, and how the id before that one moves the place.
+# By rank of an id: where a block's tables hold what followed it, and how the id before it moves that place.
 PLACE = np.arange(ALL) * 40503 >> 4 & (1 << TABLE_BITS) - 1
 SECOND = np.arange(ALL) * 60493 >> 5 & (1 << TABLE_BITS) - 1
 
@@ -48,19 +49,25 @@ def rounds(width: int) -> Iterator[tuple[int, int, bool]]:
 
 
 class Frequencies:
-    """How often each id occurs in a segment, out of ALL; at least once if it occurs at all."""
+    """How often each id occurs in a segment, out of ALL; at least once if it occurs at all.
+
+    The coder works on the ranks of the ids that occur, so that all tables by id are as small as can be.
+    """
 
     def __init__(self, known: np.ndarray, freq: np.ndarray):
         self.known, self.given = known, freq
-        self.freq = np.zeros(ALL)
-        self.freq[known] = freq
+        self.freq = freq.astype(np.float64)
         self.start = np.cumsum(self.freq) - self.freq
-        self.inputs = STRETCH[np.clip(self.freq.astype(np.int64) >> 4, 1, ONE - 1)]
-        self.common = int(known[freq.argmax()])
+        self.inputs = STRETCH[np.clip(freq >> 4, 1, ONE - 1)]
+
+    def ranks(self, ids: np.ndarray) -> np.ndarray:
+        by_id = np.zeros(ALL, dtype=np.uint16)
+        by_id[self.known] = np.arange(len(self.known))
+        return by_id.take(ids)
 
     @classmethod
     def of_ids(cls, ids: np.ndarray) -> Frequencies:
-        counts = np.bincount(ids)
+        counts = sum(np.bincount(ids[i : i + PART], minlength=ALL) for i in range(0, len(ids), PART))
         known = np.flatnonzero(counts)
         freq = 1 + counts[known] * (ALL - len(known)) // len(ids)
         freq[freq.argmax()] += ALL - freq.sum()
@@ -74,16 +81,19 @@ class Frequencies:
     def blob(self) -> bytes:
         return zlib.compress(np.stack([self.known, self.given - 1]).astype("<u2").tobytes())
 
-    def ids_by_slot(self) -> np.ndarray:
-        return np.repeat(self.known, self.given)
+    def ranks_by_slot(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.known), dtype=np.uint16), self.given)
 
 
 class Model:
     """The state of all blocks of a segment."""
 
     def __init__(self, n: int, order0: Frequencies):
-        self.base, self.row = np.arange(n) << TABLE_BITS, np.arange(n) * (SURE + 1)
-        self.last1, self.last2 = np.zeros(n << TABLE_BITS, np.uint32), np.zeros(n << TABLE_BITS, np.uint32)
+        self.lane, self.row = np.arange(n), np.arange(n) * (SURE + 1)
+        # What blocks know of one place lies together: many of them look up the same frequent ids.
+        shift = (n - 1).bit_length()
+        self.place, self.second = (table[: len(order0.known)] << shift for table in (PLACE, SECOND))
+        self.last1, self.last2 = (np.zeros(1 << TABLE_BITS + shift, np.uint32) for _ in range(2))
         self.order0 = order0.inputs
         self.seen = np.tile([1, 4], (2, n * (SURE + 1), 1))  # hits and misses by order and sureness
         self.weights = np.full((3, n), 1 << 15)
@@ -97,8 +107,8 @@ class Model:
 
     def predict(self, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
         """The predicted ids, the probabilities, of ONE, that they come, and what :meth:`learn` needs."""
-        at1 = PLACE.take(last) + self.base
-        at2 = at1 ^ SECOND.take(before)
+        at1 = self.place.take(last) + self.lane
+        at2 = at1 ^ self.second.take(before)
         one, two = self.last1.take(at1), self.last2.take(at2)
         guess = np.where(two, two, one) >> 4
         total = self.heavy1.take((one & SURE) + self.row)
@@ -134,12 +144,12 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[list[bytes]
         return [], []
     width = min(block, len(ids))
     order0 = Frequencies.of_ids(ids)
-    columns = np.full(n * width, order0.common, dtype=np.uint16)
-    columns[: len(ids)] = ids
+    columns = np.full(n * width, order0.given.argmax(), dtype=np.uint16)
+    columns[: len(ids)] = order0.ranks(ids)
     columns = columns.reshape(n, width).T.copy()
     model = Model(n, order0)
     most = 2 * width + 8  # a step leaves two words at most
-    out, first = np.zeros(n * most, dtype=np.uint16), np.arange(n) * most + 1
+    out, first = np.zeros(n * most, dtype=np.uint32), np.arange(n) * most
     at = first.copy()
     low, span = np.zeros(n), np.full(n, TOP)
     before = last = np.zeros(n, dtype=np.int64)
@@ -155,24 +165,14 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[list[bytes]
             part = np.floor((span - bound) * (1 / ALL))
             low += (bound + part * starts[step]) * moved[step]
             span = np.where(missed[step], part * freqs[step], bound)
-            over = (low >= TOP).nonzero()[0]
-            if len(over):
-                low[over] -= TOP
-                over = at[over]
-                while len(over):  # a carry goes on through words of all ones
-                    over = over - 1
-                    out[over] += 1
-                    over = over[out[over] == 0]
-            small = (span < LOW).nonzero()[0]
-            while len(small):
-                rest = low.take(small)
-                word = np.floor(rest * (1 / LOW))
-                out[at.take(small)] = word
-                low[small] = (rest - word * LOW) * WORD
-                rest = span.take(small) * WORD
-                span[small] = rest
-                at[small] += 1
-                small = small[rest < LOW]
+            small = span < LOW
+            while small.any():
+                word = np.floor(low * (1 / LOW))
+                out[at] = word.astype(np.uint32)  # stays where the place moves on
+                low = np.where(small, (low - word * LOW) * WORD, low)
+                span = np.where(small, span * WORD, span)
+                at += small
+                small = span < LOW
         model.learn(now, found, weigh)
         before, last = history[-2], history[-1]
     for _ in range(3):
@@ -180,7 +180,13 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[list[bytes]
         out[at] = word
         low = (low - word * LOW) * WORD
         at += 1
-    raw, words, table = ids.astype("<u2").tobytes(), out.astype("<u2", copy=False), order0.blob()
+    over = (out >= ALL).nonzero()[0]
+    while len(over):  # a word's 17th bit is a carry to the word before it
+        out[over] -= ALL
+        over = over - 1
+        out[over] += 1
+        over = over[out[over] >= ALL]
+    raw, words, table = ids.astype("<u2").tobytes(), out.astype("<u2"), order0.blob()
     sums = [zlib.crc32(raw[2 * i : 2 * (i + width)]) for i in range(0, len(ids), width)]
     return [table, *(words[b:e].tobytes() for b, e in zip(first, at))], [zlib.crc32(table), *sums]
 
@@ -193,9 +199,9 @@ def decode_segment(blocks: list[bytes], sums: list[int], total: int, block: int
     if zlib.crc32(table) != sums[0]:
         raise ValueError("the table of frequencies is damaged")
     order0 = Frequencies.from_blob(table)
-    by_slot, n, width = order0.ids_by_slot(), len(blocks), min(block, total)
+    by_slot, n, width = order0.ranks_by_slot(), len(blocks), min(block, total)
     lengths = np.fromiter(map(len, blocks), dtype=np.int64, count=n) // 2
-    words = np.concatenate([np.frombuffer(b"".join(blocks), dtype="<u2"), np.zeros(4, dtype="<u2")]).astype(np.float64)
+    words = np.concatenate([np.frombuffer(b"".join(blocks), dtype="<u2"), np.zeros(4, dtype="<u2")])
     at = np.cumsum(lengths) - lengths
     code = words.take(at, mode="clip") * LOW + words.take(at + 1, mode="clip") * WORD + words.take(at + 2, mode="clip")
     at += 3
@@ -209,33 +215,25 @@ def decode_segment(blocks: list[bytes], sums: list[int], total: int, block: int
             found = model.predict(before, last)
             kept.append(found)
             bound = np.floor(span * (1 / ONE)) * found[1]
-            ids = now[step]
-            ids[:] = found[0]
-            missed = (code >= bound).nonzero()[0]
-            if len(missed):
-                edge = bound.take(missed)
-                rest = code.take(missed) - edge
-                part = np.floor((span.take(missed) - edge) * (1 / ALL))
-                symbol = by_slot.take((rest / part).astype(np.int64), mode="clip")  # exact: both are below 2**49
-                ids[missed] = symbol
-                code[missed] = rest - part * order0.start.take(symbol)
-                bound[missed] = part * order0.freq.take(symbol)
-            span = bound
-            small = (span < LOW).nonzero()[0]
-            while len(small):
-                place = at.take(small)
-                code[small] = code.take(small) * WORD + words.take(place, mode="clip")
-                rest = span.take(small) * WORD
-                span[small] = rest
-                at[small] = place + 1
-                small = small[rest < LOW]
+            rest, part = code - bound, np.floor((span - bound) * (1 / ALL))
+            symbol = by_slot.take((rest / part).astype(np.int64), mode="clip")  # exact: both are below 2**49
+            missed = rest >= 0
+            now[step] = ids = np.where(missed, symbol, found[0])
+            code = np.where(missed, rest - part * order0.start.take(symbol), code)
+            span = np.where(missed, part * order0.freq.take(symbol), bound)
+            small = span < LOW
+            while small.any():
+                code = np.where(small, code * WORD + words.take(at, mode="clip"), code)
+                span = np.where(small, span * WORD, span)
+                at += small
+                small = span < LOW
             before, last = last, ids
         wrong = (code >= span).nonzero()[0]
         if len(wrong):
             raise ValueError(f"block {wrong[0]} is damaged")
         model.learn(now, tuple(map(np.stack, zip(*kept))), weigh)
         columns[begin:end] = now
-    found = columns.T.reshape(-1)[:total].astype("<u2")
+    found = order0.known.astype("<u2").take(columns.T.reshape(-1)[:total])
     raw = found.tobytes()
     for i, expected in enumerate(sums[1:]):
         if zlib.crc32(raw[2 * i * width : 2 * (i + 1) * width]) != expected:

@@ -85,15 +85,15 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             for at in range(batch.num_rows):
                 (row,) = batch.slice(at, 1).to_pylist()
                 ids = decode_segment(row["blocks"], row["checksums"], row["n_ids"]).astype("<u4")
-                ends = np.cumsum(row["lengths"])
-                starts = ends - row["lengths"]
-                for i in range(0, len(ends), 1000):
-                    some = slice(i, i + 1000)
+                bounds = np.concatenate([[0], np.cumsum(row["lengths"])])
+                for i in range(0, len(bounds) - 1, 1000):
+                    some, near = slice(i, i + 1000), bounds[i : i + 1001]
+                    offsets = pa.py_buffer(((near - near[0]) * 4).astype("<i4"))
                     columns = [
                         pa.array(row["doc_ids"][some], pa.int64()),
-                        pa.array(starts[some] + row["start"] + bases[row["part"]], pa.int64()),
+                        pa.array(near[:-1] + row["start"] + bases[row["part"]], pa.int64()),
                         pa.array(row["lengths"][some], pa.int64()),
-                        pa.array([ids[b:e].tobytes() for b, e in zip(starts[some], ends[some])], pa.binary()),
+                        pa.Array.from_buffers(pa.binary(), len(near) - 1, [None, offsets, pa.py_buffer(ids[near[0] : near[-1]])]),
                     ]
                     yield pa.record_batch(columns, names=["doc_id", "start", "n_tokens", "ids"])
 

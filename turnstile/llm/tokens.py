@@ -30,7 +30,7 @@ ONLY_SINGLE = r"^ |  | $| \n"
 # Line ends that the library may take together with the white space around them.
 NOT_ALONE = r"[\t\v\f\r]\n|\n[\t\v\f\r]|\n\n[\n ]|\n\n$"
 # Words remembered, and the longest of them in bytes.
-MAX_WORDS, MAX_LENGTH = 1_000_000, 64
+MAX_WORDS, MAX_LENGTH = 600_000, 64
 # Latin words with at most one of these marks behind them need no search for word parts.
 MARKS = frozenset(".,;:!?")
 ASCII_MARKS = string.punctuation
@@ -38,6 +38,7 @@ LAST_LATIN = "\u024f"
 # The byte-level alphabet: bytes that are no visible Latin-1 characters stand as the characters from 256 on.
 HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(HIDDEN)}
+LED = chr(BYTE_CHARS[ord(" ")])
 CALL_WORDS = 2_000
 SLICE_BYTES = 16 << 20
 
@@ -55,7 +56,8 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         names = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.named = "|".join(names)  # the library reads these names in a text as the token
+        # The library reads these names in a text as the token.
+        self.odd = "|".join([OTHER_BLANKS, *[ONLY_SINGLE] * leading, *names])
         self.leading, self.mark = leading, mark
         (self.mark_id,) = self.whole(mark)
         # Words already seen, and their ids.
@@ -86,37 +88,43 @@ class TextEncoder:
         found.update(zip(plain, self.in_calls(plain, f" {self.mark} ")))
         return found
 
-    def led_words(self, words: list[str], cores: list[str], core_ids: list[bytes | None]) -> dict[str, bytes]:
-        """Ids of words with a blank before them, or with the line end that they begin with, and of new cores of them.
+    def led_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words with a blank before them, or with the line end that they begin with.
 
         A core is a word without the ASCII marks at its end, which are a part of their own behind a Latin letter or digit.
         """
-        split = [c != w and c[-1:].isalnum() and c[-1] <= LAST_LATIN for w, c in zip(words, cores)]
-        new = {c if apart else w for w, c, apart, ids in zip(words, cores, split, core_ids) if not apart or ids is None}
-        found, plain, lines, line_end = {}, [], [], self.mark_id.tobytes()
+        found, line_end, tails, others = {}, self.mark_id.tobytes(), {}, []
         tokenize = self.tokenizer.model.tokenize
-        for w in new:
-            at_line = w[0] == "\n"
-            rest = w[1:] if at_line else w
-            if rest.isalpha() and max(rest) <= LAST_LATIN:
-                core = rest if at_line else " " + rest
-                ids = array("H", [token.id for token in tokenize(core.encode().decode("latin-1").translate(BYTE_CHARS))]).tobytes()
-                found[w] = line_end + ids if at_line else ids
-            elif rest.split() != [rest]:  # white space within
-                found[w] = self.whole(w if at_line else " " + w).tobytes()
-            elif at_line:
-                lines.append(w)
+        for w in words:
+            core = w.rstrip(ASCII_MARKS)
+            if core == w or not core or core[-1] > LAST_LATIN or not core[-1].isalnum():
+                core = w
+            if core not in found:
+                at_line = core[0] == "\n"
+                rest = core[1:] if at_line else core
+                if not rest.isalpha() or not rest.isascii() and max(rest) > LAST_LATIN:
+                    others.append(w)
+                    continue
+                if rest.isascii():
+                    rest = rest if at_line else LED + rest
+                else:
+                    rest = (rest if at_line else " " + rest).encode().decode("latin-1").translate(BYTE_CHARS)
+                ids = array("H", [token.id for token in tokenize(rest)]).tobytes()
+                found[core] = line_end + ids if at_line else ids
+            if core is not w:
+                tail = w[len(core) :]
+                if tail not in tails:
+                    tails[tail] = self.whole(tail).tobytes()
+                found[w] = found[core] + tails[tail]
+        plain, lines = [], []
+        for w in others:
+            rest = w[1:] if w[0] == "\n" else w
+            if rest.split() != [rest]:  # white space within
+                found[w] = self.whole(w if w[0] == "\n" else " " + w).tobytes()
             else:
-                plain.append(w)
+                (plain if rest is w else lines).append(w)
         found.update(zip(plain, self.in_calls([" " + w for w in plain], self.mark)))
         found.update((w, line_end + ids) for w, ids in zip(lines, self.in_calls([w[1:] for w in lines], self.mark)))
-        tails: dict[str, bytes] = {}
-        for w, c, apart, ids in zip(words, cores, split, core_ids):
-            if apart:
-                tail = w[len(c) :]
-                if tail not in tails:
-                    tails[tail] = self.whole(tail).tobytes()
-                found[w] = (found[c] if ids is None else ids) + tails[tail]
         return found
 
     def in_calls(self, words: list[str], part: str) -> Iterator[bytes]:
@@ -131,26 +139,20 @@ class TextEncoder:
                 at = end + 1
 
     def of_words(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """An array of ids and the place of each word's in it. The words are distinct."""
-        n, known = len(words), self.ids
-        looked = pa.concat_arrays([words, pc.utf8_rtrim(words, characters=ASCII_MARKS)]) if self.leading else words
-        place = pc.fill_null(pc.index_in(looked, value_set=self.words), -1).to_numpy().astype(np.int64)
-        missing = np.flatnonzero(place[:n] < 0)
-        if not len(missing):
-            return known, place[:n]
-        new = words.take(pa.array(missing)).to_pylist()
-        if self.leading:
-            at = place[n + missing]
-            ids = known.take(pa.array(at, mask=at < 0)).to_pylist()
-            found = self.led_words(new, looked.take(pa.array(n + missing)).to_pylist(), ids)
-        else:
-            found = self.new_words(new)
-        if len(self.words) < MAX_WORDS:
-            kept = [w for w in found if len(w) <= MAX_LENGTH]
+        """An array of ids and the place of each word's in it."""
+        n, known = len(self.words), self.ids
+        coded = pa.concat_arrays([self.words, words]).dictionary_encode()  # the words already seen keep their places
+        place = coded.indices.to_numpy()[n:].astype(np.int64)
+        new = coded.dictionary[n:].to_pylist()
+        if not new:
+            return known, place
+        found = self.led_words(new) if self.leading else self.new_words(new)
+        ids = pa.concat_arrays([known, pa.array([found[w] for w in new], pa.binary())])
+        if n < MAX_WORDS:
+            kept = [w for w in new if len(w) <= MAX_LENGTH]
             self.words = pa.concat_arrays([self.words, pa.array(kept, pa.string())])
             self.ids = pa.concat_arrays([known, pa.array([found[w] for w in kept], pa.binary())])
-        place[missing] = len(known) + np.arange(len(missing))
-        return pa.concat_arrays([known, pa.array([found[w] for w in new], pa.binary())]), place[:n]
+        return ids, place
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For slices of ``texts`` in order: all ids, and the bounds of each text's. Null texts have none."""
@@ -164,11 +166,7 @@ class TextEncoder:
             at = end
 
     def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        odd = pc.match_substring_regex(texts, OTHER_BLANKS)
-        if self.leading:
-            odd = pc.or_(odd, pc.match_substring_regex(texts, ONLY_SINGLE))
-        if self.named:
-            odd = pc.or_(odd, pc.match_substring_regex(texts, self.named))
+        odd = pc.match_substring_regex(texts, self.odd)
         odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         plain = pc.if_else(odd, "", texts)
         if self.leading:
@@ -177,11 +175,10 @@ class TextEncoder:
         lists = pc.split_pattern(plain, " ") if self.leading else pc.ascii_split_whitespace(plain)
         bounds = lists.offsets.to_numpy().astype(np.int64)
         bounds = bounds - bounds[0]
-        coded = lists.flatten().dictionary_encode()
-        parts, place = self.of_words(coded.dictionary)
-        at = place[coded.indices.to_numpy()]
+        words = lists.flatten()
+        parts, at = self.of_words(words)
         if self.leading:  # a text's first word has no blank before it
-            firsts = pc.take(coded, pa.array(bounds[:-1])).dictionary_decode().dictionary_encode()
+            firsts = pc.take(words, pa.array(bounds[:-1])).dictionary_encode()
             own = firsts.dictionary.to_pylist()
             plain = [w for w in own if w.split() == [w]]
             found = dict(zip(plain, self.in_calls(plain, self.mark)))
@@ -194,8 +191,8 @@ class TextEncoder:
             parts = pa.concat_arrays([parts, pa.array(odd, pa.binary())])
         coded = pc.take(parts, pa.array(at))
         _, offsets, raw = coded.buffers()
-        ends = np.frombuffer(offsets, dtype=np.int32, count=len(coded) + 1).astype(np.int64) // 2
-        return np.frombuffer(raw or b"", dtype="<u2", count=ends[-1]), ends[bounds]
+        ends = np.frombuffer(offsets, dtype=np.int32, count=len(coded) + 1)
+        return np.frombuffer(raw or b"", dtype="<u2", count=ends[-1] // 2), ends[bounds].astype(np.int64) // 2
 
 
 @lru_cache(maxsize=1)
