@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 
 BLOCK_IDS = 4096
-TABLE_BITS = 11
+TABLE_BITS = 10
 # Probabilities of hits have 12 bits, frequencies 16; the range is held between 2**32 and 2**48 and leaves 16 bits at a time.
 BITS = 12
 ONE = 1 << BITS
@@ -166,13 +166,18 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[list[bytes]
             low += (bound + part * starts[step]) * moved[step]
             span = np.where(missed[step], part * freqs[step], bound)
             small = span < LOW
-            while small.any():
-                word = np.floor(low * (1 / LOW))
-                out[at] = word.astype(np.uint32)  # stays where the place moves on
-                low = np.where(small, (low - word * LOW) * WORD, low)
-                span = np.where(small, span * WORD, span)
-                at += small
-                small = span < LOW
+            word = np.floor(low * (1 / LOW))
+            out[at] = word.astype(np.uint32)  # stays where the place moves on
+            low = np.where(small, (low - word * LOW) * WORD, low)
+            span = np.where(small, span * WORD, span)
+            at += small
+            few = (span < LOW).nonzero()[0]  # those that leave a second word
+            if len(few):
+                word = np.floor(low[few] * (1 / LOW))
+                out[at[few]] = word.astype(np.uint32)
+                low[few] = (low[few] - word * LOW) * WORD
+                span[few] *= WORD
+                at[few] += 1
         model.learn(now, found, weigh)
         before, last = history[-2], history[-1]
     for _ in range(3):
@@ -222,11 +227,14 @@ def decode_segment(blocks: list[bytes], sums: list[int], total: int, block: int
             code = np.where(missed, rest - part * order0.start.take(symbol), code)
             span = np.where(missed, part * order0.freq.take(symbol), bound)
             small = span < LOW
-            while small.any():
-                code = np.where(small, code * WORD + words.take(at, mode="clip"), code)
-                span = np.where(small, span * WORD, span)
-                at += small
-                small = span < LOW
+            code = np.where(small, code * WORD + words.take(at, mode="clip"), code)
+            span = np.where(small, span * WORD, span)
+            at += small
+            few = (span < LOW).nonzero()[0]
+            if len(few):
+                code[few] = code[few] * WORD + words.take(at[few], mode="clip")
+                span[few] *= WORD
+                at[few] += 1
             before, last = last, ids
         wrong = (code >= span).nonzero()[0]
         if len(wrong):

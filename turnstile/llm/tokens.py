@@ -40,7 +40,7 @@ HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(HIDDEN)}
 LED = chr(BYTE_CHARS[ord(" ")])
 CALL_WORDS = 2_000
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 24 << 20
 
 
 class TextEncoder:
@@ -158,10 +158,11 @@ class TextEncoder:
         """For slices of ``texts`` in order: all ids, and the bounds of each text's. Null texts have none."""
         texts = pc.fill_null(texts, "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        room = ends[-1] // -(-ends[-1] // SLICE_BYTES) + 1 if len(ends) and ends[-1] else 1  # slices of about equal size
         at = 0
         while at < len(texts):
             before = ends[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES)))
+            end = max(at + 1, int(np.searchsorted(ends, before + room, side="right")))
             yield self.encode_slice(texts.slice(at, end - at))
             at = end
 
